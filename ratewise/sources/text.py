@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewise.schemas import CORRUPT_COL, ITEM_FILE, RATING_FILE
 
@@ -33,7 +34,7 @@ def write_csv(df: DataFrame, path: str, header: bool = False) -> str:
 
 
 def _read_csv(spark: SparkSession, path: str, schema, header: bool) -> DataFrame:
-    with_corrupt = schema.add(CORRUPT_COL, "string")
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     return (
         spark.read.schema(with_corrupt)
         .option("header", str(header).lower())
