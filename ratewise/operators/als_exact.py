@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.vectors import dot, init_vector, triangle_index
 from ratewise.operators.joins import SaltedSide, fits_broadcast, salted_side
-from ratewise.operators.profile import key_counts, nan_guard
+from ratewise.operators.profile import key_counts
 from ratewise.session import scratch_path
 
 FACTOR_SCHEMA = "id int, features array<double>"
@@ -122,7 +122,7 @@ def _run_sums(key: str, rank: int):
     return run
 
 
-def _solver(key: str, rank: int, lam: float, reg: str):
+def _solver(key: str, rank: int, lam: float, reg: str, guard: bool = True):
     iu = np.triu_indices(rank)
     diag = np.arange(rank)
 
@@ -132,23 +132,32 @@ def _solver(key: str, rank: int, lam: float, reg: str):
                 continue
             m = len(pdf)
             tri = np.stack(pdf["ata"].to_numpy())
+            b = np.stack(pdf["atb"].to_numpy())
+            if guard and (np.isnan(tri).any() or np.isnan(b).any()):
+                bad = pdf[key].to_numpy()[np.isnan(tri).any(axis=1) | np.isnan(b).any(axis=1)]
+                raise ValueError(f"NaN in normal equations of {key} {bad[:5].tolist()}")
             a = np.zeros((m, rank, rank))
             a[:, iu[0], iu[1]] = tri
             a[:, iu[1], iu[0]] = tri
             shift = lam * pdf["n"].to_numpy(dtype=float) if reg == "count" else np.full(m, lam)
             a[:, diag, diag] += shift[:, None]
-            b = np.stack(pdf["atb"].to_numpy())
             x = np.linalg.solve(a, b[..., None])[..., 0]
             yield pd.DataFrame({"id": pdf[key].to_numpy(dtype="int32"), "features": list(x)})
 
     return solve
 
 
-def solve_factors(neq: DataFrame, key: str, rank: int, lam: float, reg: str = "plain") -> DataFrame:
-    """Regularised solve per entity, batched over Arrow batches of entities."""
+def solve_factors(
+    neq: DataFrame, key: str, rank: int, lam: float, reg: str = "plain", guard: bool = True
+) -> DataFrame:
+    """Regularised solve per entity, batched over Arrow batches of entities.
+
+    With ``guard`` a NaN in any normal equation fails the task (and so the
+    job), checked in the same numpy pass as the solve.
+    """
     if reg not in ("plain", "count"):
         raise ValueError(f"reg must be 'plain' or 'count', not {reg!r}")
-    return neq.mapInPandas(_solver(key, rank, float(lam), reg), FACTOR_SCHEMA)
+    return neq.mapInPandas(_solver(key, rank, float(lam), reg, guard), FACTOR_SCHEMA)
 
 
 def update_factors(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -182,9 +191,7 @@ def half_step(
     else:
         joined = attach_factors(ratings, fixed, fixed_key)
     neq = normal_equations(joined.select(solve_key, "rating", "f"), solve_key, rank, method)
-    if guard:
-        neq = nan_guard(neq, ["ata", "atb"])
-    return solve_factors(neq, solve_key, rank, lam, reg)
+    return solve_factors(neq, solve_key, rank, lam, reg, guard)
 
 
 def rmse_frame(
@@ -262,15 +269,22 @@ def als_exact(
     force_shuffle: bool = False,
     guard: bool = True,
     method: str = "auto",
+    item_init: DataFrame | None = None,
 ) -> ExactAlsResult:
     """Fit factors for all users and items of ``train``.
 
+    Item factors start from a deterministic random vector per id, or from
+    ``item_init`` (warm start). User start vectors are never read: the first
+    half step overwrites every user.
+
     ``history`` has one row per epoch (epoch, train_rmse, test_rmse,
     train_known, test_known); it is lazy over the written factors of each
     epoch, so nothing passes through the driver.
     """
     out_dir = out_dir or scratch_path(spark, "als")
     ratings = train.select("user_id", "item_id", "rating").persist(StorageLevel.MEMORY_AND_DISK)
+    if test is not None:
+        test = test.select("user_id", "item_id", "rating").persist(StorageLevel.MEMORY_AND_DISK)
     sizes = ratings.agg(
         F.count(F.lit(1)).alias("n"),
         F.countDistinct("user_id").alias("u"),
@@ -290,7 +304,12 @@ def als_exact(
         item_side = salted_side(ratings, "user_id", key_counts(ratings, "user_id"), n_rows, parts, hot_rows)
         salted.append(item_side)
 
-    item_f = _write_read(spark, init_factors(ratings, "item_id", rank, seed), os.path.join(out_dir, "init", "items"))
+    # Warm start: given item factors replace the random ones (ids missing
+    # from ``item_init`` fall back to the random vector).
+    first = init_factors(ratings, "item_id", rank, seed)
+    if item_init is not None:
+        first = update_factors(first, item_init.select("id", "features"))
+    item_f = _write_read(spark, first, os.path.join(out_dir, "init", "items"))
     user_f = None
     history_rows = []
     epochs = []

@@ -45,9 +45,13 @@ def _read_csv(spark: SparkSession, path: str, schema, header: bool) -> DataFrame
 
 
 def read_items_file(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
-    """Item file scan: (movie_id, name, price) as strings; price may be null."""
+    """Item file scan: (movie_id, name, price) as strings.
+
+    Only id and name are required; a line without a price is kept with a
+    null price, and fields past the third are ignored.
+    """
     df = _read_csv(spark, path, ITEM_FILE, header)
-    return df.where(F.col(CORRUPT_COL).isNull() & F.col("movie_id").isNotNull()).select(
+    return df.where(F.col("movie_id").isNotNull() & F.col("name").isNotNull()).select(
         "movie_id", "name", "price"
     )
 
