@@ -7,6 +7,6 @@ joins, grouped sums and a batched solve), scored, and published as the top
 items per user.
 """
 
-from ratewise.session import build_session, checkpoint_root, scratch_path
+from ratewise.session import build_session, checkpoint_root, scratch_path, ship_package
 
-__all__ = ["build_session", "checkpoint_root", "scratch_path"]
+__all__ = ["build_session", "checkpoint_root", "scratch_path", "ship_package"]

@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.functions.vectors import dot, init_vector, triangle_index
-from ratewise.operators.joins import SaltedSide, fits_broadcast, salted_side
-from ratewise.operators.profile import key_counts
+from ratewise.operators.blocks import BLOCK_ROWS, blocked_half_step, blocked_side
+from ratewise.operators.joins import fits_broadcast
 from ratewise.session import scratch_path
 
 FACTOR_SCHEMA = "id int, features array<double>"
@@ -50,76 +50,23 @@ def init_factors(ids: DataFrame, id_col: str, rank: int, seed: int = 0) -> DataF
 SUMS_MAX_RANK = 12
 
 
-def normal_equations(joined: DataFrame, key: str, rank: int, method: str = "auto") -> DataFrame:
+def normal_equations(joined: DataFrame, key: str, rank: int) -> DataFrame:
     """Per entity: n, upper triangle of sum q q^T, and sum rating * q.
 
     ``joined`` has ``key``, ``rating`` and the fixed side's vector ``f``.
-    Both methods aggregate partially map-side and merge per key, so a hot
-    entity is never gathered whole:
-
-    * ``sums`` (rank <= 12): one Catalyst ``sum`` per triangle cell, fully
-      code-generated.
-    * ``blocked`` (larger rank, where r(r+1)/2 sums would blow up the
-      generated code): rows are sorted by key inside each partition (no
-      shuffle), numpy sums every run of one key inside an Arrow batch, and
-      the partial vectors are merged per key with Spark ML's vector
-      ``Summarizer``.
+    One Catalyst ``sum`` per triangle cell: code-generated, partially
+    aggregated map-side, so a hot entity is never gathered whole. Meant for
+    small ranks; r(r+1)/2 sums grow the generated code quickly, and above
+    rank 12 the blocked half step (``blocks.py``) is used instead.
     """
-    if method == "auto":
-        method = "sums" if rank <= SUMS_MAX_RANK else "blocked"
-    if method == "sums":
-        f, r = F.col("f"), F.col("rating")
-        tri = [F.sum(f[a] * f[b]) for a, b in triangle_index(rank)]
-        rhs = [F.sum(f[a] * r) for a in range(rank)]
-        return joined.groupBy(key).agg(
-            F.count(F.lit(1)).cast("long").alias("n"),
-            F.array(*tri).alias("ata"),
-            F.array(*rhs).alias("atb"),
-        )
-    if method != "blocked":
-        raise ValueError(f"unknown method {method!r}")
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    t = rank * (rank + 1) // 2
-    partials = joined.select(key, "rating", "f").sortWithinPartitions(key).mapInPandas(
-        _run_sums(key, rank), f"{key} int, v array<double>"
+    f, r = F.col("f"), F.col("rating")
+    tri = [F.sum(f[a] * f[b]) for a, b in triangle_index(rank)]
+    rhs = [F.sum(f[a] * r) for a in range(rank)]
+    return joined.groupBy(key).agg(
+        F.count(F.lit(1)).cast("long").alias("n"),
+        F.array(*tri).alias("ata"),
+        F.array(*rhs).alias("atb"),
     )
-    merged = partials.select(key, array_to_vector("v").alias("v")).groupBy(key).agg(
-        Summarizer.sum(F.col("v")).alias("s")
-    )
-    s = vector_to_array(F.col("s"))
-    return merged.select(
-        key,
-        F.round(s[0]).cast("long").alias("n"),
-        F.slice(s, 2, t).alias("ata"),
-        F.slice(s, t + 2, rank).alias("atb"),
-    )
-
-
-def _run_sums(key: str, rank: int):
-    """Sums of (1, triangle of f f^T, rating * f) over each run of one key."""
-    iu = np.triu_indices(rank)
-    t = len(iu[0])
-
-    def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            keys = pdf[key].to_numpy()
-            # Input is sorted per partition; a stable sort keeps it cheap.
-            order = np.argsort(keys, kind="stable")
-            keys = keys[order]
-            f = np.stack(pdf["f"].to_numpy())[order]
-            r = pdf["rating"].to_numpy(dtype=float)[order]
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            out = np.empty((len(starts), 1 + t + rank))
-            out[:, 0] = np.diff(np.r_[starts, len(keys)])
-            out[:, 1 : 1 + t] = np.add.reduceat(f[:, iu[0]] * f[:, iu[1]], starts, axis=0)
-            out[:, 1 + t :] = np.add.reduceat(f * r[:, None], starts, axis=0)
-            yield pd.DataFrame({key: keys[starts].astype("int32"), "v": list(out)})
-
-    return run
 
 
 def _solver(key: str, rank: int, lam: float, reg: str, guard: bool = True):
@@ -175,7 +122,7 @@ def attach_factors(ratings: DataFrame, factors: DataFrame, key: str) -> DataFram
 
 
 def half_step(
-    ratings: DataFrame | SaltedSide,
+    ratings: DataFrame,
     fixed: DataFrame,
     fixed_key: str,
     solve_key: str,
@@ -183,14 +130,14 @@ def half_step(
     lam: float,
     reg: str = "plain",
     guard: bool = True,
-    method: str = "auto",
 ) -> DataFrame:
-    """New factors for ``solve_key`` entities given ``fixed`` factors."""
-    if isinstance(ratings, SaltedSide):
-        joined = ratings.join_factors(fixed)
-    else:
-        joined = attach_factors(ratings, fixed, fixed_key)
-    neq = normal_equations(joined.select(solve_key, "rating", "f"), solve_key, rank, method)
+    """New factors for ``solve_key`` entities given ``fixed`` factors.
+
+    Broadcast lookup + Catalyst sums + batched solve; the caller checks
+    that ``fixed`` is small enough to broadcast (see ``als_exact``).
+    """
+    joined = attach_factors(ratings, fixed, fixed_key)
+    neq = normal_equations(joined.select(solve_key, "rating", "f"), solve_key, rank)
     return solve_factors(neq, solve_key, rank, lam, reg, guard)
 
 
@@ -264,11 +211,10 @@ def als_exact(
     seed: int = 0,
     test: DataFrame | None = None,
     out_dir: str | None = None,
-    partitions: int | None = None,
+    method: str = "auto",
+    block_rows: int = BLOCK_ROWS,
     hot_rows: int | None = None,
-    force_shuffle: bool = False,
     guard: bool = True,
-    method: str = "auto",
     item_init: DataFrame | None = None,
 ) -> ExactAlsResult:
     """Fit factors for all users and items of ``train``.
@@ -277,8 +223,13 @@ def als_exact(
     ``item_init`` (warm start). User start vectors are never read: the first
     half step overwrites every user.
 
+    ``method``: ``sums`` (broadcast lookup + Catalyst sums), ``blocks``
+    (blocked half step, any rank and any factor-table size), or ``auto``:
+    sums while the rank is at most 12 and the fixed side's factor table
+    fits the broadcast bound, blocks otherwise.
+
     ``history`` has one row per epoch (epoch, train_rmse, test_rmse,
-    train_known, test_known); it is lazy over the written factors of each
+    train_known, test_known); it is lazy over the factors written for each
     epoch, so nothing passes through the driver.
     """
     out_dir = out_dir or scratch_path(spark, "als")
@@ -291,18 +242,32 @@ def als_exact(
         F.countDistinct("item_id").alias("i"),
     ).first()
     n_rows, n_users, n_items = int(sizes["n"]), int(sizes["u"]), int(sizes["i"])
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    # User step looks up item vectors; item step looks up user vectors.
-    user_side: DataFrame | SaltedSide = ratings
-    item_side: DataFrame | SaltedSide = ratings
-    salted: list[SaltedSide] = []
-    if force_shuffle or not fits_broadcast(spark, n_items, rank):
-        user_side = salted_side(ratings, "item_id", key_counts(ratings, "item_id"), n_rows, parts, hot_rows)
-        salted.append(user_side)
-    if force_shuffle or not fits_broadcast(spark, n_users, rank):
-        item_side = salted_side(ratings, "user_id", key_counts(ratings, "user_id"), n_rows, parts, hot_rows)
-        salted.append(item_side)
+    parts = spark.sparkContext.defaultParallelism
+
+    def pick(n_fixed: int) -> str:
+        if method != "auto":
+            return method
+        small = rank <= SUMS_MAX_RANK and fits_broadcast(spark, n_fixed, rank)
+        return "sums" if small else "blocks"
+
+    sides = {}
+    for solve_key, fixed_key, n_fixed in (("user_id", "item_id", n_items), ("item_id", "user_id", n_users)):
+        how = pick(n_fixed)
+        if how == "blocks":
+            sides[solve_key] = blocked_side(
+                ratings, solve_key, fixed_key, n_rows, block_rows=block_rows,
+                hot_rows=hot_rows, min_blocks=parts,
+            )
+        elif how != "sums":
+            raise ValueError(f"unknown method {method!r}")
+
+    def step(solve_key, fixed_key, fixed, n_fixed, path):
+        side = sides.get(solve_key)
+        if side is None:
+            return _write_read(
+                spark, half_step(ratings, fixed, fixed_key, solve_key, rank, lam, reg, guard), path
+            )
+        return blocked_half_step(spark, side, fixed, n_fixed, rank, lam, reg, guard, path)
 
     # Warm start: given item factors replace the random ones (ids missing
     # from ``item_init`` fall back to the random vector).
@@ -315,20 +280,12 @@ def als_exact(
     epochs = []
     for k in range(n_iter):
         base = os.path.join(out_dir, f"epoch={k}")
-        user_f = _write_read(
-            spark,
-            half_step(user_side, item_f, "item_id", "user_id", rank, lam, reg, guard, method),
-            os.path.join(base, "users"),
-        )
-        item_f = _write_read(
-            spark,
-            half_step(item_side, user_f, "user_id", "item_id", rank, lam, reg, guard, method),
-            os.path.join(base, "items"),
-        )
+        user_f = step("user_id", "item_id", item_f, n_items, os.path.join(base, "users"))
+        item_f = step("item_id", "user_id", user_f, n_users, os.path.join(base, "items"))
         epochs.append((user_f, item_f))
         history_rows.append(evaluate_epoch(ratings, test, user_f, item_f, rank, k))
-    for s in salted:
-        s.unpersist()
+    for side in sides.values():
+        side.unpersist()
     if user_f is None:
         user_f = init_factors(ratings, "user_id", rank, seed)
     history = reduce(DataFrame.unionByName, history_rows) if history_rows else None

@@ -1,17 +1,15 @@
-"""Factor lookups: broadcast when the factor table is provably small,
-otherwise a shuffle join over ratings pre-partitioned with hot keys split.
+"""The broadcast bound for factor tables.
 
-The size bound is computed from the exact entity count and the rank, not
-from optimizer estimates: bytes = rows * (8 * rank + 48).
+A factor table is broadcast only when its size, computed from the exact
+entity count and the rank (bytes = rows * (8 * rank + 48)), is within
+``ratewise.broadcast.maxBytes`` (default 256 MiB); optimizer estimates are
+not used for this decision. Above the bound the callers switch to a
+shuffle plan (blocked half step, item blocks for top-N).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 BROADCAST_LIMIT_CONF = "ratewise.broadcast.maxBytes"
 DEFAULT_BROADCAST_LIMIT = 256 * 1024 * 1024
@@ -27,70 +25,3 @@ def factor_bytes(n_rows: int, rank: int) -> int:
 
 def fits_broadcast(spark: SparkSession, n_rows: int, rank: int) -> bool:
     return factor_bytes(n_rows, rank) <= broadcast_limit(spark)
-
-
-@dataclass
-class SaltedSide:
-    """Ratings hash-partitioned on (key, salt), persisted once and reused.
-
-    Keys with more than ``hot_rows`` ratings are spread over
-    ceil(n / hot_rows) salts, so no partition holds a hot key whole. ``hot``
-    lists those keys with their salt count; it has at most
-    total / hot_rows rows, which bounds its broadcast.
-    """
-
-    key: str
-    ratings: DataFrame
-    hot: DataFrame
-    partitions: int
-
-    def join_factors(self, factors: DataFrame) -> DataFrame:
-        """Attach the factor vector ``f`` of ``key`` to every rating.
-
-        The factor rows of a hot key are repeated once per salt; the
-        ratings side is already partitioned on (key, salt) and is not
-        shuffled again.
-        """
-        f = factors.select(F.col("id").alias(self.key), F.col("features").alias("f"))
-        f = f.join(F.broadcast(self.hot), self.key, "left")
-        f = f.select(
-            self.key,
-            "f",
-            F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)).alias(
-                "_salt"
-            ),
-        ).repartition(self.partitions, self.key, "_salt")
-        return self.ratings.join(f, [self.key, "_salt"]).drop("_salt")
-
-    def unpersist(self) -> None:
-        self.ratings.unpersist()
-
-
-def salted_side(
-    ratings: DataFrame,
-    key: str,
-    counts: DataFrame,
-    total_rows: int,
-    partitions: int,
-    hot_rows: int | None = None,
-) -> SaltedSide:
-    """Partition ratings once on ``key`` with hot keys split into salts."""
-    if hot_rows is None:
-        hot_rows = max(1, total_rows // max(1, partitions))
-    hot = counts.where(F.col("n") > hot_rows).select(
-        key, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("n_salt")
-    )
-    # The hot list has at most total_rows / hot_rows keys.
-    other = [c for c in ratings.columns if c != key]
-    salted = ratings.join(F.broadcast(hot), key, "left").select(
-        *ratings.columns,
-        F.when(
-            F.col("n_salt").isNotNull(),
-            F.pmod(F.xxhash64(*[F.col(c) for c in other]), F.col("n_salt")),
-        )
-        .otherwise(F.lit(0))
-        .cast("int")
-        .alias("_salt"),
-    )
-    parted = salted.repartition(partitions, key, "_salt").persist(StorageLevel.MEMORY_AND_DISK)
-    return SaltedSide(key=key, ratings=parted, hot=hot, partitions=partitions)
