@@ -37,7 +37,7 @@ from ratewise.operators.blocks import BLOCK_ROWS, blocked_half_step, blocked_sid
 from ratewise.operators.joins import fits_broadcast
 from ratewise.session import scratch_path
 
-FACTOR_SCHEMA = "id int, features array<double>"
+FACTOR_SCHEMA = "id int, features array<double>, sse double"
 
 
 def init_factors(ids: DataFrame, id_col: str, rank: int, seed: int = 0) -> DataFrame:
@@ -51,7 +51,7 @@ SUMS_MAX_RANK = 12
 
 
 def normal_equations(joined: DataFrame, key: str, rank: int) -> DataFrame:
-    """Per entity: n, upper triangle of sum q q^T, and sum rating * q.
+    """Per entity: n, upper triangle of sum q q^T, sum rating * q, sum rating^2.
 
     ``joined`` has ``key``, ``rating`` and the fixed side's vector ``f``.
     One Catalyst ``sum`` per triangle cell: code-generated, partially
@@ -66,6 +66,7 @@ def normal_equations(joined: DataFrame, key: str, rank: int) -> DataFrame:
         F.count(F.lit(1)).cast("long").alias("n"),
         F.array(*tri).alias("ata"),
         F.array(*rhs).alias("atb"),
+        F.sum(r * r).alias("rr"),
     )
 
 
@@ -86,14 +87,28 @@ def _solver(key: str, rank: int, lam: float, reg: str, guard: bool = True):
             a = np.zeros((m, rank, rank))
             a[:, iu[0], iu[1]] = tri
             a[:, iu[1], iu[0]] = tri
+            plain = a.copy()
             shift = lam * pdf["n"].to_numpy(dtype=float) if reg == "count" else np.full(m, lam)
             a[:, diag, diag] += shift[:, None]
             x = np.linalg.solve(a, b[..., None])[..., 0]
-            yield pd.DataFrame({"id": pdf[key].to_numpy(dtype="int32"), "features": list(x)})
+            sse = fit_sse(pdf["rr"].to_numpy(dtype=float), b, plain, x)
+            yield pd.DataFrame(
+                {"id": pdf[key].to_numpy(dtype="int32"), "features": list(x), "sse": sse}
+            )
 
     return solve
 
 
+def fit_sse(rr: np.ndarray, b: np.ndarray, a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Squared error of an entity's own ratings under its new factor.
+
+    sum (r - q.x)^2 = sum r^2 - 2 x.b + x^T A x, with A = sum q q^T and
+    b = sum r q: the train error comes out of the solve with no extra pass
+    over the ratings.
+    """
+    return rr - 2.0 * np.einsum("mi,mi->m", x, b) + np.einsum("mi,mij,mj->m", x, a, x)
+
+
 def solve_factors(
     neq: DataFrame, key: str, rank: int, lam: float, reg: str = "plain", guard: bool = True
 ) -> DataFrame:
@@ -158,33 +173,43 @@ def rmse_frame(
 
 
 def evaluate_epoch(
-    train: DataFrame,
+    n_train: int,
     test: DataFrame | None,
     user_f: DataFrame,
     item_f: DataFrame,
     rank: int,
     epoch: int,
 ) -> DataFrame:
-    """One row: epoch, train RMSE and test RMSE (sqrt(SSE known / all rows))."""
-    parts = rmse_frame(train, user_f, item_f, rank, "train")
+    """One row: epoch, train RMSE and test RMSE (sqrt(SSE known / all rows)).
+
+    The train error is the sum of the per-item ``sse`` the item step
+    wrote (every train pair is known after an epoch); the test error joins
+    the test rows to both factor tables.
+    """
+    tr = item_f.agg(F.sum("sse").alias("sse")).select(
+        F.lit("train").alias("split"),
+        "sse",
+        F.lit(n_train).cast("long").alias("n_all"),
+        F.lit(n_train).cast("long").alias("n_known"),
+    )
+    parts = tr
     if test is not None:
-        parts = parts.unionByName(rmse_frame(test, user_f, item_f, rank, "test"))
-    is_tr = F.col("split") == "train"
+        te = rmse_frame(test, user_f, item_f, rank, "test").agg(
+            F.sum("sq").alias("sse"),
+            F.count(F.lit(1)).cast("long").alias("n_all"),
+            F.count(F.when(F.col("known"), 1)).cast("long").alias("n_known"),
+        )
+        parts = parts.unionByName(te.select(F.lit("test").alias("split"), "sse", "n_all", "n_known"))
 
-    def stats(cond):
-        sse = F.sum(F.when(cond, F.col("sq")))
-        n_all = F.count(F.when(cond, 1))
-        n_known = F.count(F.when(cond & F.col("known"), 1))
-        return sse, n_all, n_known
+    def pick(tag, col):
+        return F.max(F.when(F.col("split") == tag, F.col(col)))
 
-    tr_sse, tr_all, tr_known = stats(is_tr)
-    te_sse, te_all, te_known = stats(~is_tr)
     return parts.agg(
         F.lit(epoch).alias("epoch"),
-        F.sqrt(F.try_divide(tr_sse, tr_all)).alias("train_rmse"),
-        F.sqrt(F.try_divide(te_sse, te_all)).alias("test_rmse"),
-        tr_known.cast("long").alias("train_known"),
-        te_known.cast("long").alias("test_known"),
+        F.sqrt(F.try_divide(pick("train", "sse"), pick("train", "n_all"))).alias("train_rmse"),
+        F.sqrt(F.try_divide(pick("test", "sse"), pick("test", "n_all"))).alias("test_rmse"),
+        F.coalesce(pick("train", "n_known"), F.lit(0)).cast("long").alias("train_known"),
+        F.coalesce(pick("test", "n_known"), F.lit(0)).cast("long").alias("test_known"),
     )
 
 
@@ -283,7 +308,7 @@ def als_exact(
         user_f = step("user_id", "item_id", item_f, n_items, os.path.join(base, "users"))
         item_f = step("item_id", "user_id", user_f, n_users, os.path.join(base, "items"))
         epochs.append((user_f, item_f))
-        history_rows.append(evaluate_epoch(ratings, test, user_f, item_f, rank, k))
+        history_rows.append(evaluate_epoch(n_rows, test, user_f, item_f, rank, k))
     for side in sides.values():
         side.unpersist()
     if user_f is None:

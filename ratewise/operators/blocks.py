@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ratewise.operators.joins import fits_broadcast
 
 BLOCK_ROWS = 1_000_000
-OUT_SCHEMA = "id int, n long, features array<double>, v array<double>"
+OUT_SCHEMA = "id int, n long, features array<double>, sse double, v array<double>"
 
 
 @dataclass
@@ -104,7 +104,7 @@ def _block_fn(side: BlockedSide, rank: int, lam: float, reg: str, guard: bool, c
 
     def run(r: pd.DataFrame, vecs: pd.DataFrame) -> pd.DataFrame:
         if len(r) == 0 or len(vecs) == 0:
-            return pd.DataFrame({"id": [], "n": [], "features": [], "v": []})
+            return pd.DataFrame({"id": [], "n": [], "features": [], "sse": [], "v": []})
         vx = vecs[x_key].to_numpy()
         order = np.argsort(vx)
         vx = vx[order]
@@ -114,7 +114,7 @@ def _block_fn(side: BlockedSide, rank: int, lam: float, reg: str, guard: bool, c
         r = r[found]
         pos = pos[found]
         if len(r) == 0:
-            return pd.DataFrame({"id": [], "n": [], "features": [], "v": []})
+            return pd.DataFrame({"id": [], "n": [], "features": [], "sse": [], "v": []})
         keys = r[s_key].to_numpy()
         srt = np.argsort(keys, kind="stable")
         keys, pos = keys[srt], pos[srt]
@@ -122,7 +122,7 @@ def _block_fn(side: BlockedSide, rank: int, lam: float, reg: str, guard: bool, c
         split = r["_split"].to_numpy()[srt]
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         ends = np.r_[starts[1:], len(keys)]
-        sums = np.zeros((len(starts), 1 + t + rank))
+        sums = np.zeros((len(starts), 2 + t + rank))
         # Chunks of whole key runs keep the row-wise products small.
         g0 = 0
         while g0 < len(starts):
@@ -132,32 +132,41 @@ def _block_fn(side: BlockedSide, rank: int, lam: float, reg: str, guard: bool, c
             rel = starts[g0:g1] - lo
             sums[g0:g1, 0] = ends[g0:g1] - starts[g0:g1]
             sums[g0:g1, 1 : 1 + t] = np.add.reduceat(q[:, iu[0]] * q[:, iu[1]], rel, axis=0)
-            sums[g0:g1, 1 + t :] = np.add.reduceat(q * rat[lo:hi, None], rel, axis=0)
+            sums[g0:g1, 1 + t : 1 + t + rank] = np.add.reduceat(q * rat[lo:hi, None], rel, axis=0)
+            sums[g0:g1, -1] = np.add.reduceat(rat[lo:hi] ** 2, rel)
             g0 = g1
         if guard and np.isnan(sums).any():
             raise ValueError(f"NaN in normal equations of {s_key}")
         ids = keys[starts].astype("int32")
         is_split = split[starts]
         whole = ~is_split
+        sse = np.full(len(starts), np.nan)
         if not is_split.any():
-            feats = list(solve_rows(sums, rank, lam, reg, iu, diag))
+            x, sse = solve_rows(sums, rank, lam, reg, iu, diag)
+            feats = list(x)
             vs = [None] * len(starts)
         else:
             feats = [None] * len(starts)
             if whole.any():
-                x = solve_rows(sums[whole], rank, lam, reg, iu, diag)
+                x, e = solve_rows(sums[whole], rank, lam, reg, iu, diag)
+                sse[whole] = e
                 for j, k in enumerate(np.flatnonzero(whole)):
                     feats[k] = x[j]
             vs = [sums[k] if is_split[k] else None for k in range(len(starts))]
         return pd.DataFrame(
-            {"id": ids, "n": sums[:, 0].astype("int64"), "features": feats, "v": vs}
+            {"id": ids, "n": sums[:, 0].astype("int64"), "features": feats, "sse": sse, "v": vs}
         )
 
     return run
 
 
-def solve_rows(sums: np.ndarray, rank: int, lam: float, reg: str, iu=None, diag=None) -> np.ndarray:
-    """Solve (A + lam_e I) x = b for rows of [n, triangle(A), b]."""
+def solve_rows(sums: np.ndarray, rank: int, lam: float, reg: str, iu=None, diag=None):
+    """Solve (A + lam_e I) x = b for rows of [n, triangle(A), b, sum r^2].
+
+    Returns (x, sse) where sse is the entity's own squared error under x.
+    """
+    from ratewise.operators.als_exact import fit_sse
+
     iu = iu if iu is not None else np.triu_indices(rank)
     diag = diag if diag is not None else np.arange(rank)
     t = len(iu[0])
@@ -165,9 +174,12 @@ def solve_rows(sums: np.ndarray, rank: int, lam: float, reg: str, iu=None, diag=
     a = np.zeros((m, rank, rank))
     a[:, iu[0], iu[1]] = sums[:, 1 : 1 + t]
     a[:, iu[1], iu[0]] = sums[:, 1 : 1 + t]
+    plain = a.copy()
     shift = lam * sums[:, 0] if reg == "count" else np.full(m, lam)
     a[:, diag, diag] += shift[:, None]
-    return np.linalg.solve(a, sums[:, 1 + t :, None])[..., 0]
+    b = sums[:, 1 + t : 1 + t + rank]
+    x = np.linalg.solve(a, b[..., None])[..., 0]
+    return x, fit_sse(sums[:, -1], b, plain, x)
 
 
 def _merge_solver(rank: int, lam: float, reg: str):
@@ -176,8 +188,10 @@ def _merge_solver(rank: int, lam: float, reg: str):
             if len(pdf) == 0:
                 continue
             sums = np.stack(pdf["s"].to_numpy())
-            x = solve_rows(sums, rank, lam, reg)
-            yield pd.DataFrame({"id": pdf["id"].to_numpy(dtype="int32"), "features": list(x)})
+            x, sse = solve_rows(sums, rank, lam, reg)
+            yield pd.DataFrame(
+                {"id": pdf["id"].to_numpy(dtype="int32"), "features": list(x), "sse": sse}
+            )
 
     return run
 
@@ -218,13 +232,13 @@ def blocked_half_step(
     if out_path is not None:
         out.write.mode("error").parquet(out_path)
         out = spark.read.parquet(out_path)
-    whole = out.where(F.col("features").isNotNull()).select("id", "features")
+    whole = out.where(F.col("features").isNotNull()).select("id", "features", "sse")
     parts = out.where(F.col("v").isNotNull())
     merged = (
         parts.select("id", array_to_vector("v").alias("v"))
         .groupBy("id")
         .agg(Summarizer.sum(F.col("v")).alias("s"))
         .select("id", vector_to_array("s").alias("s"))
-        .mapInPandas(_merge_solver(rank, float(lam), reg), "id int, features array<double>")
+        .mapInPandas(_merge_solver(rank, float(lam), reg), "id int, features array<double>, sse double")
     )
     return whole.unionByName(merged)
