@@ -27,7 +27,6 @@ from ratewise.operators.profile import (
 from ratewise.operators.recommend import (
     affected_users,
     publish_strings,
-    rec_text,
     recs_to_rows,
     top_n_exact,
 )
@@ -240,14 +239,12 @@ def _builtin_model(spark, sf):
 
 
 def q_publish_recs(spark, sf):
-    model = _builtin_model(spark, sf)
-    users, _ = model_factors(model)
-    recs = recommend_builtin(model, users.select(F.col("id").alias("user_id")), P.TOP_N)
+    # Fit the library model, score every user against every item exactly
+    # (no pair rows), and upsert one string per user.
+    users, items = model_factors(_builtin_model(spark, sf))
+    top = top_n_exact(spark, users, items, P.WR_RANK, P.TOP_N)
     store = _store(spark)
-    store.put_columns(
-        "t_users", recs.select("user_id", rec_text(F.col("recs")).alias("rec_movies")),
-        "user_id", {"recMovies": "rec_movies"},
-    )
+    store.put_columns("t_users", publish_strings(top), "user_id", {"recMovies": "rec_movies"})
     return store.read_wide("t_users", ["recMovies"]).select(
         "rowkey", F.col("recMovies").alias("rec_movies")
     )
