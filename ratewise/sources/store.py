@@ -1,9 +1,18 @@
 """Keyed cell store on Parquet: put, last-write-wins per cell, row-key scan.
 
-A table is a folder of versions ``v=<n>``, each a full Parquet snapshot of
-cells ``(rowkey, family, qualifier, value)``. A put batch writes version
-n+1 and never touches n, so readers of n are never disturbed; the newest
-version with a ``_SUCCESS`` marker is the current one.
+A table is a folder of layers, each a Parquet set of cells
+``(rowkey, family, qualifier, value)`` with a ``_SUCCESS`` marker:
+
+  ``delta=<n>``  the cells of put batch n, one per cell (already reduced),
+  ``base=<n>``   a full snapshot of the table as of batch n (compaction).
+
+A put writes only its own cells, so its cost follows the batch, not the
+table. A read takes the newest base and the deltas after it: the base
+minus the cells any later delta touches (an anti join; the delta side is
+small) plus the newest value of each delta cell. Every ``compact_every``
+puts a new base is written. Layers are never rewritten, so a reader of
+version n is never disturbed and ``read_cells(table, n)`` gives the table
+as of batch n.
 
 Semantics of a put batch, cell by cell: the last put of a cell (by the
 caller's order columns, value as final tie-break) replaces the stored
@@ -24,9 +33,10 @@ CELL_KEY = ["rowkey", "family", "qualifier"]
 
 
 class KeyedStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 8):
         self.spark = spark
         self.root = root
+        self.compact_every = compact_every
 
     # -- folders -----------------------------------------------------------
     def _fs_path(self, path: str):
@@ -37,8 +47,8 @@ class KeyedStore:
     def table_path(self, table: str) -> str:
         return os.path.join(self.root, table)
 
-    def versions(self, table: str) -> list[int]:
-        """Committed versions of a table, oldest first (a metadata listing)."""
+    def _layers(self, table: str) -> list[tuple[int, str]]:
+        """Committed layers as (batch number, kind), oldest first (a listing)."""
         p, fs = self._fs_path(self.table_path(table))
         if not fs.exists(p):
             return []
@@ -46,21 +56,47 @@ class KeyedStore:
         found = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if not name.startswith("v="):
+            kind, _, num = name.partition("=")
+            if kind not in ("base", "delta") or not num.isdigit():
                 continue
             if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                found.append(int(name[2:]))
+                found.append((int(num), kind))
         return sorted(found)
 
+    def versions(self, table: str) -> list[int]:
+        """Batch numbers that were put (each is a readable version)."""
+        return sorted({n for n, kind in self._layers(table) if kind == "delta"})
+
+    def _path(self, table: str, kind: str, n: int) -> str:
+        return os.path.join(self.table_path(table), f"{kind}={n}")
+
+    def _read(self, path: str) -> DataFrame:
+        return self.spark.read.schema(CELL).parquet(path)
+
     # -- reads -------------------------------------------------------------
     def read_cells(self, table: str, version: int | None = None) -> DataFrame:
-        vs = self.versions(table)
-        if version is None and vs:
-            version = vs[-1]
-        if version is None:
+        """All cells as of batch ``version`` (default: the newest)."""
+        layers = [(n, k) for n, k in self._layers(table) if version is None or n <= version]
+        if not layers:
             return self.spark.createDataFrame([], CELL)
-        path = os.path.join(self.table_path(table), f"v={version}")
-        return self.spark.read.schema(CELL).parquet(path)
+        bases = [n for n, k in layers if k == "base"]
+        base_n = bases[-1] if bases else -1
+        deltas = [n for n, k in layers if k == "delta" and n > base_n]
+        base = self._read(self._path(table, "base", base_n)) if bases else None
+        if not deltas:
+            return base if base is not None else self.spark.createDataFrame([], CELL)
+        stacked = None
+        for n in deltas:
+            d = self._read(self._path(table, "delta", n)).withColumn("_n", F.lit(n))
+            stacked = d if stacked is None else stacked.unionByName(d)
+        if len(deltas) == 1:
+            newest = stacked.drop("_n")
+        else:
+            newest = stacked.groupBy(*CELL_KEY).agg(F.max_by("value", "_n").alias("value"))
+        if base is None:
+            return newest
+        kept = base.join(newest.select(*CELL_KEY), CELL_KEY, "left_anti")
+        return kept.unionByName(newest)
 
     def read_wide(
         self, table: str, qualifiers: Sequence[str], family: str = "msg"
@@ -87,7 +123,7 @@ class KeyedStore:
         puts: DataFrame,
         order: Sequence[str | Column] = (),
     ) -> int:
-        """Apply a batch of puts; returns the new version number.
+        """Apply a batch of puts; returns its batch number (the new version).
 
         ``puts`` has (rowkey, family, qualifier, value) plus the columns in
         ``order``, which must order puts of one cell totally (the value is
@@ -100,14 +136,26 @@ class KeyedStore:
             .groupBy(*CELL_KEY)
             .agg(F.max_by("value", rank).alias("value"))
         )
-        old = self.read_cells(table)
-        kept = old.join(latest.select(*CELL_KEY), CELL_KEY, "left_anti")
-        merged = kept.unionByName(latest)
-        vs = self.versions(table)
-        new_version = (vs[-1] + 1) if vs else 0
-        path = os.path.join(self.table_path(table), f"v={new_version}")
-        merged.write.mode("error").parquet(path)
-        return new_version
+        layers = self._layers(table)
+        n = (layers[-1][0] + 1) if layers else 0
+        latest.write.mode("error").parquet(self._path(table, "delta", n))
+        since_base = [m for m, k in layers if k == "delta"]
+        bases = [m for m, k in layers if k == "base"]
+        if bases:
+            since_base = [m for m in since_base if m > bases[-1]]
+        if len(since_base) + 1 >= self.compact_every:
+            self.compact(table)
+        return n
+
+    def compact(self, table: str) -> None:
+        """Write the current view as a base at the newest batch number."""
+        layers = self._layers(table)
+        if not layers:
+            return
+        n = max(m for m, k in layers if k == "delta")
+        if (n, "base") in layers:
+            return
+        self.read_cells(table).write.mode("error").parquet(self._path(table, "base", n))
 
     def put_columns(
         self,

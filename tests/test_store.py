@@ -22,18 +22,26 @@ put = st.tuples(st.sampled_from(KEYS), st.sampled_from(QUALS), st.one_of(st.none
 
 
 @settings(max_examples=6, deadline=None)
-@given(st.lists(st.lists(put, max_size=6), min_size=1, max_size=3))
+@given(st.lists(st.lists(put, max_size=6), min_size=1, max_size=4))
 def test_upsert_matches_dict_model(spark, batches):
-    store = KeyedStore(spark, scratch_path(spark, "kv"))
+    # Compaction every 3 puts: reads cover one delta, several deltas, and
+    # a base with deltas after it.
+    store = KeyedStore(spark, scratch_path(spark, "kv"), compact_every=3)
     model = {}
+    history = []
     for batch in batches:
         _apply(store, "t", batch)
         for k, q, v in batch:
             if v is not None:
                 model[(k, q)] = v
-    got = {(r.rowkey, r.qualifier): r.value for r in store.read_cells("t").collect()}
-    assert got == model
+        history.append(dict(model))
+        got = {(r.rowkey, r.qualifier): r.value for r in store.read_cells("t").collect()}
+        assert got == model
     assert sorted(r.rowkey for r in store.keys("t").collect()) == sorted({k for k, _ in model})
+    # Every earlier version stays readable as it was.
+    for n, snap in enumerate(history):
+        old = {(r.rowkey, r.qualifier): r.value for r in store.read_cells("t", n).collect()}
+        assert old == snap
 
 
 def test_partial_put_keeps_other_cells(spark):
