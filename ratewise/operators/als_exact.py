@@ -261,12 +261,7 @@ def als_exact(
     ratings = train.select("user_id", "item_id", "rating").persist(StorageLevel.MEMORY_AND_DISK)
     if test is not None:
         test = test.select("user_id", "item_id", "rating").persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = ratings.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.countDistinct("user_id").alias("u"),
-        F.countDistinct("item_id").alias("i"),
-    ).first()
-    n_rows, n_users, n_items = int(sizes["n"]), int(sizes["u"]), int(sizes["i"])
+    n_rows = ratings.count()
     parts = spark.sparkContext.defaultParallelism
 
     def pick(n_fixed: int) -> str:
@@ -275,19 +270,24 @@ def als_exact(
         small = rank <= SUMS_MAX_RANK and fits_broadcast(spark, n_fixed, rank)
         return "sums" if small else "blocks"
 
-    sides = {}
-    for solve_key, fixed_key, n_fixed in (("user_id", "item_id", n_items), ("item_id", "user_id", n_users)):
+    sides: dict = {}
+
+    def side_for(solve_key: str, fixed_key: str, n_fixed: int):
+        """The blocked layout of one side, built once when first needed."""
         how = pick(n_fixed)
-        if how == "blocks":
+        if how == "sums":
+            return None
+        if how != "blocks":
+            raise ValueError(f"unknown method {method!r}")
+        if solve_key not in sides:
             sides[solve_key] = blocked_side(
                 ratings, solve_key, fixed_key, n_rows, block_rows=block_rows,
                 hot_rows=hot_rows, min_blocks=parts,
             )
-        elif how != "sums":
-            raise ValueError(f"unknown method {method!r}")
+        return sides[solve_key]
 
     def step(solve_key, fixed_key, fixed, n_fixed, path):
-        side = sides.get(solve_key)
+        side = side_for(solve_key, fixed_key, n_fixed)
         if side is None:
             return _write_read(
                 spark, half_step(ratings, fixed, fixed_key, solve_key, rank, lam, reg, guard), path
@@ -300,12 +300,18 @@ def als_exact(
     if item_init is not None:
         first = update_factors(first, item_init.select("id", "features"))
     item_f = _write_read(spark, first, os.path.join(out_dir, "init", "items"))
+    # Exact entity counts come from the written factor tables (one row per
+    # id), which is what the broadcast bound needs.
+    n_items = item_f.count()
+    n_users = None
     user_f = None
     history_rows = []
     epochs = []
     for k in range(n_iter):
         base = os.path.join(out_dir, f"epoch={k}")
         user_f = step("user_id", "item_id", item_f, n_items, os.path.join(base, "users"))
+        if n_users is None:
+            n_users = user_f.count()
         item_f = step("item_id", "user_id", user_f, n_users, os.path.join(base, "items"))
         epochs.append((user_f, item_f))
         history_rows.append(evaluate_epoch(n_rows, test, user_f, item_f, rank, k))
