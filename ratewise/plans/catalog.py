@@ -48,7 +48,7 @@ from ratewise.sources import (
 from ratewise.sources.store import KeyedStore
 from ratewise.sources.text import TS_FORMAT
 from ratewise.streaming.refresh import RefreshConfig, StreamRefresher
-from ratewise.streaming.replay import write_replay
+from ratewise.streaming.replay import SlotReplay, write_replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,6 +179,12 @@ def _stream_lines(spark, sf, slots: int) -> str:
     )
 
 
+def _slot_replay(spark, sf, slots: int) -> SlotReplay:
+    return SlotReplay(
+        ratings_s(spark, sf), slots, line_key="event_id", records_per_line=P.RECORDS_PER_LINE
+    )
+
+
 def q_stream_ratings(spark, sf):
     src = _stream_lines(spark, sf, 1)
     out = scratch_path(spark, "stream_sink")
@@ -195,28 +201,35 @@ def q_stream_ratings(spark, sf):
 
 
 def q_replay_batches(spark, sf):
-    src = _stream_lines(spark, sf, P.REPLAY_SLOTS)
+    rep = _slot_replay(spark, sf, P.REPLAY_SLOTS)
+    src = scratch_path(spark, "replay")
     out = scratch_path(spark, "replay_sink")
-    lines = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(src)
-    q = (
-        parse_stream_lines(lines, keep=["slot"])
-        .writeStream.format("parquet")
-        .option("checkpointLocation", out + "_ckpt")
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    q.awaitTermination()
+
+    def trigger_once():
+        lines = spark.readStream.format("text").load(src)
+        q = (
+            parse_stream_lines(lines, keep=["slot"])
+            .writeStream.format("parquet")
+            .option("checkpointLocation", out + "_ckpt")
+            .trigger(availableNow=True)
+            .start(out)
+        )
+        q.awaitTermination()
+
+    rep.run(src, trigger_once)
+    rep.release()
     return spark.read.parquet(out).select("user_id", "item_id", "rating", "slot")
 
 
 def _refresher(spark, sf, slots: int, refit_every: int) -> StreamRefresher:
-    src = _stream_lines(spark, sf, slots)
+    rep = _slot_replay(spark, sf, slots)
     ref = StreamRefresher(
         spark, scratch_path(spark, "refresh"),
         config=RefreshConfig(P.WR_RANK, P.WR_ITER, P.WR_LAMBDA, P.TOP_N, refit_every),
     )
     ref.seed_history(ratings_b(spark, sf))
-    ref.start(src).awaitTermination()
+    ref.replay(rep, scratch_path(spark, "replay"))
+    rep.release()
     return ref
 
 
