@@ -7,6 +7,7 @@ its own under /tmp.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -50,9 +51,10 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``ratewise`` importable by the Python workers (pandas UDFs).
 
-    Zips the package once per application and hands it to
-    ``SparkContext.addPyFile``, which distributes it to every executor. On a
-    cluster, passing the same zip with ``--py-files`` does the same.
+    Zips the package in memory once per application, writes the zip into
+    the shared checkpoint folder through the Hadoop file system API, and
+    hands that path to ``SparkContext.addPyFile``, which distributes it to
+    every executor. (Passing the zip with ``--py-files`` does the same.)
     """
     sc = spark.sparkContext
     app = sc.applicationId
@@ -60,15 +62,24 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    # The zip is a driver-side artefact: addPyFile uploads it to executors.
-    out = os.path.join(tempfile.mkdtemp(prefix="ratewise-pkg-"), "ratewise.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _, files in os.walk(pkg):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
+    data = buf.getvalue()
+    target = os.path.join(checkpoint_root(spark), "pkg", f"ratewise-{app}.zip")
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    sc.addPyFile(target)
     _SHIPPED.add(app)
 
 
