@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.vectors import vector_columns
 from ratewise.operators import als_exact as ax
-from ratewise.operators.als_builtin import fit_als, model_factors, recommend_builtin
+from ratewise.operators.als_builtin import fit_als, model_factors
 from ratewise.operators.evaluate import known_pairs, predict_pairs, rmse
 from ratewise.operators.profile import (
     entity_lists,
@@ -27,7 +27,6 @@ from ratewise.operators.profile import (
 from ratewise.operators.recommend import (
     affected_users,
     publish_strings,
-    recs_to_rows,
     top_n_exact,
 )
 from ratewise.plans import params as P
@@ -418,10 +417,11 @@ def q_als_wr(spark, sf):
 
 
 def q_top_n(spark, sf):
-    model = _builtin_model(spark, sf)
-    users, _ = model_factors(model)
-    recs = recommend_builtin(model, users.select(F.col("id").alias("user_id")), P.TOP_N)
-    return recs_to_rows(recs)
+    # Top 10 of every user under the library model, scored by the exact
+    # scorer (no user x item rows; the library's own path cross-joins blocks).
+    users, items = model_factors(_builtin_model(spark, sf))
+    top = top_n_exact(spark, users, items, P.WR_RANK, P.TOP_N)
+    return top.select("user_id", "rank", "item_id", F.round("score", P.FACTOR_DIGITS).alias("score"))
 
 
 # -- D, G: aggregations and sets -------------------------------------------------

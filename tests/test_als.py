@@ -142,3 +142,12 @@ def test_update_keeps_unsolved(spark):
     new = spark.createDataFrame([(2, [5.0, 5.0])], "id int, features array<double>")
     got = {r.id: r.features for r in ax.update_factors(old, new).collect()}
     assert got == {1: [1.0, 1.0], 2: [5.0, 5.0]}
+
+
+def test_empty_test_set_gives_no_test_rmse(spark):
+    train = planted(spark, n_users=10, n_items=8)
+    empty = train.limit(0)
+    res = ax.als_exact(spark, train, rank=2, n_iter=1, lam=0.1, test=empty)
+    row = res.history.first()
+    assert row.test_rmse is None and row.test_known == 0
+    assert row.train_known == train.count()

@@ -50,7 +50,7 @@ def test_rating_file_bad_lines_counted_not_fatal(spark):
 
 def test_stream_lines_many_records_and_rejects(spark):
     lines = spark.createDataFrame(
-        [("1\t5\t4.0 2\t6\t3.0",), ("",), ("3\t7\t5.0",), ("4\tx\t1.0 5\t8",), ("6\t9\t2.5  7\t1\t1.0",)],
+        [("1\t5\t4.0 2\t6\t3.0",), ("",), ("3\t7\t5.0\textra",), ("4\tx\t1.0 5\t8",), ("6\t9\t2.5  7\t1\t1.0",)],
         "value string",
     )
     good = sorted(tuple(r) for r in parse_stream_lines(lines).collect())
