@@ -254,8 +254,8 @@ def als_exact(
     fits the broadcast bound, blocks otherwise.
 
     ``history`` has one row per epoch (epoch, train_rmse, test_rmse,
-    train_known, test_known); it is lazy over the factors written for each
-    epoch, so nothing passes through the driver.
+    train_known, test_known), written to the shared folder with the
+    factors, so nothing passes through the driver.
     """
     out_dir = out_dir or scratch_path(spark, "als")
     ratings = train.select("user_id", "item_id", "rating").persist(StorageLevel.MEMORY_AND_DISK)
@@ -318,6 +318,18 @@ def als_exact(
     for side in sides.values():
         side.unpersist()
     if user_f is None:
-        user_f = init_factors(ratings, "user_id", rank, seed)
-    history = reduce(DataFrame.unionByName, history_rows) if history_rows else None
+        user_f = _write_read(
+            spark, init_factors(ratings, "user_id", rank, seed), os.path.join(out_dir, "init", "users")
+        )
+    history = None
+    if history_rows:
+        history = _write_read(
+            spark, reduce(DataFrame.unionByName, history_rows), os.path.join(out_dir, "history")
+        )
+    # Nothing returned depends on the cached inputs any more. Releasing them
+    # also keeps a later read of the same, since grown, folder from matching
+    # this stale cache.
+    ratings.unpersist()
+    if test is not None:
+        test.unpersist()
     return ExactAlsResult(user_factors=user_f, item_factors=item_f, history=history, epochs=epochs)

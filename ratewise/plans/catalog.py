@@ -58,11 +58,11 @@ def _train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return split_train_test(tt, P.SPLIT_TEST_MOD, P.SPLIT_COLD_MOD)
 
 
-def _exact(spark: SparkSession, sf: str, epochs: int) -> ax.ExactAlsResult:
+def _exact(spark: SparkSession, sf: str, epochs: int, reg: str = "plain") -> ax.ExactAlsResult:
     train, test = _train_test(spark, sf)
     return ax.als_exact(
         spark, train, rank=P.EXACT_RANK, n_iter=epochs, lam=P.EXACT_LAMBDA,
-        seed=P.EXACT_SEED, test=test,
+        seed=P.EXACT_SEED, test=test, reg=reg,
     )
 
 
@@ -220,11 +220,11 @@ def q_replay_batches(spark, sf):
     return spark.read.parquet(out).select("user_id", "item_id", "rating", "slot")
 
 
-def _refresher(spark, sf, slots: int, refit_every: int) -> StreamRefresher:
+def _refresher(spark, sf, slots: int, refit_every: int, config: RefreshConfig | None = None) -> StreamRefresher:
     rep = _slot_replay(spark, sf, slots)
     ref = StreamRefresher(
         spark, scratch_path(spark, "refresh"),
-        config=RefreshConfig(P.WR_RANK, P.WR_ITER, P.WR_LAMBDA, P.TOP_N, refit_every),
+        config=config or RefreshConfig(P.WR_RANK, P.WR_ITER, P.WR_LAMBDA, P.TOP_N, refit_every),
     )
     ref.seed_history(ratings_b(spark, sf))
     ref.replay(rep, scratch_path(spark, "replay"))
@@ -245,6 +245,15 @@ def q_stream_refresh(spark, sf):
     return ref.published().select("rowkey", F.col("recMovies").alias("rec_movies"))
 
 
+def q_stream_refresh_exact(spark, sf):
+    # Same refresh with the exact ALS as the model, so the result is checkable.
+    cfg = RefreshConfig(
+        P.EXACT_RANK, P.EXACT_EPOCHS, P.EXACT_LAMBDA, P.TOP_N, 1, P.EXACT_SEED, model="exact"
+    )
+    ref = _refresher(spark, sf, P.REFRESH_SLOTS, 1, cfg)
+    return ref.published().select("rowkey", F.col("recMovies").alias("rec_movies"))
+
+
 def _builtin_model(spark, sf):
     rb = ratings_b(spark, sf)
     return fit_als(spark, rb, P.WR_RANK, P.WR_ITER, P.WR_LAMBDA)
@@ -347,13 +356,21 @@ def q_factor_init(spark, sf):
     return _factor_rows(items0, "item_id", P.INIT_DIGITS)
 
 
-def q_als_exact(spark, sf):
-    res = _exact(spark, sf, P.EXACT_EPOCHS)
+def _both_factor_rows(res: ax.ExactAlsResult) -> DataFrame:
     u = _factor_rows(res.user_factors, "id").select(F.lit("user").alias("entity"), "*")
     i = _factor_rows(res.item_factors, "id").select(F.lit("item").alias("entity"), "*")
     return u.unionByName(i)
 
 
+def q_als_exact(spark, sf):
+    return _both_factor_rows(_exact(spark, sf, P.EXACT_EPOCHS))
+
+
+def q_als_count_weighted(spark, sf):
+    # The library's convention (lambda * ratings of the entity), exactly.
+    return _both_factor_rows(_exact(spark, sf, P.EXACT_EPOCHS, reg="count"))
+
+
 def q_loss_history(spark, sf):
     res = _exact(spark, sf, P.EXACT_EPOCHS)
     d = P.RMSE_DIGITS
@@ -480,10 +497,12 @@ QUERIES: dict[str, Query] = {
     # I
     "stream_history": q_stream_history,
     "stream_refresh": q_stream_refresh,
+    "stream_refresh_exact": q_stream_refresh_exact,
     "stream_round_log": q_stream_round_log,
     # J
     "als_wr": q_als_wr,
     "als_exact": q_als_exact,
+    "als_count_weighted": q_als_count_weighted,
     "factor_init": q_factor_init,
     "loss_history": q_loss_history,
 }

@@ -52,17 +52,34 @@ def _base_ctes() -> list[str]:
     ]
 
 
-def _neq(name: str, key: str, fixed: str, fixed_key: str) -> str:
+def _neq(name: str, key: str, fixed: str, fixed_key: str, train: str = "train") -> str:
     return (
         f"{name} AS (SELECT t.{key} AS id, count(*) AS n,"
         " sum(v.f0 * v.f0) AS a00, sum(v.f0 * v.f1) AS a01, sum(v.f1 * v.f1) AS a11,"
         " sum(v.f0 * t.rating) AS b0, sum(v.f1 * t.rating) AS b1"
-        f" FROM train t JOIN {fixed} v ON t.{fixed_key} = v.id GROUP BY t.{key})"
+        f" FROM {train} t JOIN {fixed} v ON t.{fixed_key} = v.id GROUP BY t.{key})"
     )
 
 
-def _solve(name: str, neq: str) -> str:
+def _chain(p: str, train: str, epochs: int) -> list[str]:
+    """Exact ALS on ``train`` with CTE names prefixed by ``p``; ends in
+    ``{p}u{epochs}`` and ``{p}i{epochs}``."""
+    ctes = [
+        f"{p}i0 AS (SELECT id, {_init('id', 0)} AS f0, {_init('id', 1)} AS f1"
+        f" FROM (SELECT DISTINCT item_id AS id FROM {train}))"
+    ]
+    for e in range(1, epochs + 1):
+        ctes.append(_neq(f"{p}nu{e}", "user_id", f"{p}i{e - 1}", "item_id", train))
+        ctes.append(_solve(f"{p}u{e}", f"{p}nu{e}"))
+        ctes.append(_neq(f"{p}ni{e}", "item_id", f"{p}u{e}", "user_id", train))
+        ctes.append(_solve(f"{p}i{e}", f"{p}ni{e}"))
+    return ctes
+
+
+def _solve(name: str, neq: str, count: bool = False) -> str:
     lam = f"CAST({P.EXACT_LAMBDA} AS DOUBLE)"
+    if count:
+        lam = f"({lam} * n)"
     det = f"((a00 + {lam}) * (a11 + {lam}) - a01 * a01)"
     return (
         f"{name} AS (SELECT id, ((a11 + {lam}) * b0 - a01 * b1) / {det} AS f0,"
@@ -70,13 +87,13 @@ def _solve(name: str, neq: str) -> str:
     )
 
 
-def _als_ctes(epochs: int) -> list[str]:
+def _als_ctes(epochs: int, count: bool = False) -> list[str]:
     ctes = _base_ctes()
     for e in range(1, epochs + 1):
         ctes.append(_neq(f"nu{e}", "user_id", f"i{e - 1}", "item_id"))
-        ctes.append(_solve(f"u{e}", f"nu{e}"))
+        ctes.append(_solve(f"u{e}", f"nu{e}", count))
         ctes.append(_neq(f"ni{e}", "item_id", f"u{e}", "user_id"))
-        ctes.append(_solve(f"i{e}", f"ni{e}"))
+        ctes.append(_solve(f"i{e}", f"ni{e}", count))
     return ctes
 
 
@@ -171,6 +188,42 @@ def _users_last_item() -> str:
     )
 
 
+def _stream_refresh_exact() -> str:
+    slots, e = P.REFRESH_SLOTS, P.EXACT_EPOCHS
+    ctes = [
+        f"rb AS ({RB})",
+        f"rs0 AS ({RS}), b AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM rs0)",
+        f"rs AS (SELECT user_id, item_id, rating, {_slot(slots)} AS slot FROM rs0, b)",
+    ]
+    pubs = []
+    for k in range(slots):
+        p = f"s{k}_"
+        ctes.append(
+            f"{p}train AS (SELECT user_id, item_id, rating FROM rb"
+            f" UNION ALL SELECT user_id, item_id, rating FROM rs WHERE slot <= {k})"
+        )
+        ctes += _chain(p, f"{p}train", e)
+        ctes.append(
+            f"{p}top AS (SELECT * FROM (SELECT u.id AS user_id, v.id AS item_id,"
+            " u.f0 * v.f0 + u.f1 * v.f1 AS score, row_number() OVER (PARTITION BY u.id"
+            " ORDER BY round(u.f0 * v.f0 + u.f1 * v.f1, 6) DESC, v.id) AS rank"
+            f" FROM {p}u{e} u CROSS JOIN {p}i{e} v"
+            f" WHERE u.id IN (SELECT user_id FROM rs WHERE slot = {k}))"
+            f" WHERE rank <= {P.TOP_N})"
+        )
+        pubs.append(
+            f"SELECT {k} AS slot, user_id, string_agg(CAST(item_id AS VARCHAR) || ':' ||"
+            " substr(CAST(score AS VARCHAR), 1, 4), ',' ORDER BY rank) AS rec_movies"
+            f" FROM {p}top GROUP BY user_id"
+        )
+    ctes.append("pub AS (" + " UNION ALL ".join(pubs) + ")")
+    return _with(
+        ctes,
+        "SELECT CAST(user_id AS VARCHAR) AS rowkey, arg_max(rec_movies, slot) AS rec_movies"
+        " FROM pub GROUP BY user_id",
+    )
+
+
 ORACLE: dict[str, str] = {
     # A
     "scan_items": "SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name AS name,"
@@ -260,6 +313,7 @@ ORACLE: dict[str, str] = {
     # I
     "stream_history": f"SELECT user_id, item_id, rating FROM ({RB})"
     f" UNION ALL SELECT user_id, item_id, rating FROM ({RS})",
+    "stream_refresh_exact": _stream_refresh_exact(),
     "stream_round_log": f"WITH s AS ({_slotted(P.REPLAY_SLOTS)})"
     " SELECT slot, count(*) AS rows, count(DISTINCT user_id) AS users FROM s GROUP BY slot",
     # J
@@ -268,6 +322,11 @@ ORACLE: dict[str, str] = {
         f"SELECT 'user' AS entity, * FROM ({_factors(f'u{P.EXACT_EPOCHS}', 'id')})"
         f" UNION ALL SELECT 'item' AS entity, * FROM ({_factors(f'i{P.EXACT_EPOCHS}', 'id')})",
     ),
+    "als_count_weighted": _with(
+        _als_ctes(P.EXACT_EPOCHS, count=True),
+        f"SELECT 'user' AS entity, * FROM ({_factors(f'u{P.EXACT_EPOCHS}', 'id')})"
+        f" UNION ALL SELECT 'item' AS entity, * FROM ({_factors(f'i{P.EXACT_EPOCHS}', 'id')})",
+    ),
     "factor_init": _with(_base_ctes(), _factors("i0", "item_id", P.INIT_DIGITS)),
     "loss_history": _loss_history(),
 }
