@@ -151,3 +151,17 @@ def test_empty_test_set_gives_no_test_rmse(spark):
     row = res.history.first()
     assert row.test_rmse is None and row.test_known == 0
     assert row.train_known == train.count()
+
+
+def test_refit_on_grown_folder_sees_new_rows(spark):
+    from ratewise import scratch_path
+
+    path = scratch_path(spark, "grow")
+    first = planted(spark, n_users=12, n_items=9, seed=1)
+    first.write.parquet(path + "/b=0")
+    r1 = ax.als_exact(spark, spark.read.parquet(path), rank=2, n_iter=1, lam=0.1)
+    planted(spark, n_users=12, n_items=9, seed=2).write.parquet(path + "/b=1")
+    grown = spark.read.parquet(path)
+    r2 = ax.als_exact(spark, grown, rank=2, n_iter=1, lam=0.1)
+    assert r1.history.first().train_known == first.count()
+    assert r2.history.first().train_known == grown.count()
