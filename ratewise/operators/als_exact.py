@@ -106,7 +106,9 @@ def fit_sse(rr: np.ndarray, b: np.ndarray, a: np.ndarray, x: np.ndarray) -> np.n
     b = sum r q: the train error comes out of the solve with no extra pass
     over the ratings.
     """
-    return rr - 2.0 * np.einsum("mi,mi->m", x, b) + np.einsum("mi,mij,mj->m", x, a, x)
+    sse = rr - 2.0 * np.einsum("mi,mi->m", x, b) + np.einsum("mi,mij,mj->m", x, a, x)
+    # A near-perfect fit can round below zero; the true value cannot be.
+    return np.maximum(sse, 0.0)
 
 
 def solve_factors(

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from ratewise.operators.joins import fits_broadcast
 
 BLOCK_ROWS = 1_000_000
+PARTITION_ROWS = 16_000_000
 OUT_SCHEMA = "id int, n long, features array<double>, sse double, v array<double>"
 
 
@@ -46,6 +47,7 @@ class BlockedSide:
     ratings: DataFrame
     need: DataFrame
     blocks: int
+    partitions: int
 
     def unpersist(self) -> None:
         self.ratings.unpersist()
@@ -61,8 +63,16 @@ def blocked_side(
     block_rows: int = BLOCK_ROWS,
     hot_rows: int | None = None,
     min_blocks: int = 1,
+    partition_rows: int = PARTITION_ROWS,
 ) -> BlockedSide:
+    """Partition ratings once by block of ``solve_key`` (see module doc).
+
+    Blocks hold about ``block_rows`` ratings (one pandas group each);
+    partitions hold about ``partition_rows`` ratings, so several blocks, and
+    the task count stays moderate at any size.
+    """
     b = blocks or max(min_blocks, math.ceil(n_rows / block_rows))
+    parts = max(min(b, min_blocks), min(b, math.ceil(n_rows / partition_rows)))
     hot_rows = hot_rows or max(1, block_rows // 4)
     counts = ratings.groupBy(solve_key).agg(F.count(F.lit(1)).alias("n"))
     # At most n_rows / hot_rows keys are hot, which bounds this broadcast.
@@ -82,7 +92,7 @@ def blocked_side(
         F.col("_n_salt").isNotNull().alias("_split"),
     )
     parted = (
-        tagged.repartition(b, "_blk")
+        tagged.repartition(parts, "_blk")
         .sortWithinPartitions("_blk", solve_key)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -93,7 +103,7 @@ def blocked_side(
         .distinct()
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return BlockedSide(solve_key, fixed_key, parted, need, b)
+    return BlockedSide(solve_key, fixed_key, parted, need, b, parts)
 
 
 def _block_fn(side: BlockedSide, rank: int, lam: float, reg: str, guard: bool, chunk: int):
@@ -219,7 +229,7 @@ def blocked_half_step(
     shipped = (
         side.need.join(f, side.need["_x"] == f[x])
         .select(F.col("_nblk").alias("_blk"), F.col("_x").alias(x), "f")
-        .repartition(side.blocks, "_blk")
+        .repartition(side.partitions, "_blk")
     )
     t = rank * (rank + 1) // 2
     chunk = max(256, chunk_cells // (t + rank))
