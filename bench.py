@@ -54,6 +54,7 @@ def main() -> None:
     w_train, w_test = C._train_test(spark, warm)
     for w_rank in (5, 40):
         als_exact(spark, w_train, rank=w_rank, n_iter=1, test=w_test).history.collect()
+    _noop(C.q_stream_refresh(spark, warm))
 
     timed("publish_recs", lambda: _noop(C.q_publish_recs(spark, sf)))
     timed(
