@@ -112,7 +112,7 @@ def q_ratings_typed(spark, sf):
         F.col("item_id").cast("string").alias("movie"),
         F.col("rating").cast("string").alias("rating"),
         F.date_format("ts", TS_FORMAT).alias("time"),
-    ).withColumn("_corrupt_record", F.lit(None).cast("string")).write.parquet(raw_path)
+    ).write.parquet(raw_path)
     typed = typed_ratings(spark.read.parquet(raw_path))
     return typed.select("user_id", "item_id", "rating").persist()
 

@@ -61,14 +61,16 @@ def read_ratings_file(spark: SparkSession, path: str, header: bool = False) -> D
     return _read_csv(spark, path, RATING_FILE, header)
 
 
-def _rating_line_ok() -> Column:
-    return (
-        F.col(CORRUPT_COL).isNull()
-        & F.col("user").try_cast("int").isNotNull()
+def _rating_line_ok(columns=(CORRUPT_COL,)) -> Column:
+    ok = (
+        F.col("user").try_cast("int").isNotNull()
         & F.col("movie").try_cast("int").isNotNull()
         & F.col("rating").try_cast("double").isNotNull()
         & F.col("time").isNotNull()
     )
+    if CORRUPT_COL in columns:
+        ok = ok & F.col(CORRUPT_COL).isNull()
+    return ok
 
 
 def check_ratings_file(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
@@ -84,7 +86,7 @@ def check_ratings_file(spark: SparkSession, path: str, header: bool = False) ->
 
 def typed_ratings(raw: DataFrame) -> DataFrame:
     """Cast the string layer to (user_id int, item_id int, rating double, time)."""
-    return raw.where(_rating_line_ok()).select(
+    return raw.where(_rating_line_ok(raw.columns)).select(
         F.col("user").cast("int").alias("user_id"),
         F.col("movie").cast("int").alias("item_id"),
         F.col("rating").cast("double").alias("rating"),
@@ -94,7 +96,7 @@ def typed_ratings(raw: DataFrame) -> DataFrame:
 
 def rating_rejects(raw: DataFrame) -> DataFrame:
     """Lines of a rating file that do not give a typed rating."""
-    return raw.where(~_rating_line_ok())
+    return raw.where(~_rating_line_ok(raw.columns))
 
 
 def tsv_record() -> Column:
