@@ -21,6 +21,7 @@ def build_session(
     shuffle_partitions: int = 8,
     app: str = "ratewise",
     driver_memory: str = "16g",
+    extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """A local session tuned like the cluster one: AQE on, UI off."""
     builder = (
@@ -38,6 +39,8 @@ def build_session(
         .config("spark.python.worker.reuse", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
