@@ -138,7 +138,9 @@ class KeyedStore:
         )
         layers = self._layers(table)
         n = (layers[-1][0] + 1) if layers else 0
-        latest.write.mode("error").parquet(self._path(table, "delta", n))
+        # Only committed layers count, so a folder at this number can only be
+        # the leftover of a failed attempt: overwrite it.
+        latest.write.mode("overwrite").parquet(self._path(table, "delta", n))
         since_base = [m for m, k in layers if k == "delta"]
         bases = [m for m, k in layers if k == "base"]
         if bases:
@@ -155,7 +157,7 @@ class KeyedStore:
         n = max(m for m, k in layers if k == "delta")
         if (n, "base") in layers:
             return
-        self.read_cells(table).write.mode("error").parquet(self._path(table, "base", n))
+        self.read_cells(table).write.mode("overwrite").parquet(self._path(table, "base", n))
 
     def put_columns(
         self,

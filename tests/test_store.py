@@ -68,3 +68,17 @@ def test_last_put_wins_by_order_not_arrival(spark):
                                  "rowkey string, family string, qualifier string, value string, seq int")
     store.put("t", rows, ["seq"])
     assert store.read_cells("t").first().value == "v19"
+
+
+def test_failed_attempt_leftover_is_ignored_and_replaced(spark):
+    from urllib.parse import urlparse
+    import os
+
+    store = KeyedStore(spark, scratch_path(spark, "kv"))
+    _apply(store, "t", [("a", "x", "p")])
+    # A put that died before its commit left a folder without _SUCCESS.
+    os.makedirs(urlparse(store.table_path("t")).path + "/delta=1")
+    assert store.versions("t") == [0]
+    _apply(store, "t", [("a", "x", "q")])
+    assert store.versions("t") == [0, 1]
+    assert store.read_cells("t").first().value == "q"
