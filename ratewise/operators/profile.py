@@ -49,11 +49,6 @@ def entity_lists(train: DataFrame) -> DataFrame:
     return users.unionByName(items)
 
 
-def key_counts(ratings: DataFrame, key: str) -> DataFrame:
-    """Ratings per entity: (key, n)."""
-    return ratings.groupBy(key).agg(F.count(F.lit(1)).cast("long").alias("n"))
-
-
 def nan_guard(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fail the job if any listed numeric or vector column holds a NaN."""
     checks = []

@@ -22,23 +22,6 @@ RATING_FILE = T.StructType(
 
 CORRUPT_COL = "_corrupt_record"
 
-# Typed rating triple used by every model operator.
-RATING = T.StructType(
-    [
-        T.StructField("user_id", T.IntegerType()),
-        T.StructField("item_id", T.IntegerType()),
-        T.StructField("rating", T.DoubleType()),
-    ]
-)
-
-# Factor table: one dense vector per entity.
-FACTORS = T.StructType(
-    [
-        T.StructField("id", T.IntegerType()),
-        T.StructField("features", T.ArrayType(T.DoubleType())),
-    ]
-)
-
 # Keyed cell store, one row per cell (row key, family, qualifier, value).
 CELL = T.StructType(
     [
@@ -48,12 +31,3 @@ CELL = T.StructType(
         T.StructField("value", T.StringType()),
     ]
 )
-
-TOP_N = T.StructType(
-    [
-        T.StructField("user_id", T.IntegerType()),
-        T.StructField("rank", T.IntegerType()),
-        T.StructField("item_id", T.IntegerType()),
-        T.StructField("score", T.DoubleType()),
-    ]
-)
