@@ -7,6 +7,7 @@ from ratewise.sources.tables import (
 )
 from ratewise.sources.text import (
     check_ratings_file,
+    load_train_test,
     parse_stream_lines,
     rating_rejects,
     read_items_file,
@@ -20,6 +21,7 @@ from ratewise.sources.text import (
 __all__ = [
     "check_ratings_file",
     "items_table",
+    "load_train_test",
     "load_table",
     "parse_stream_lines",
     "rating_rejects",

@@ -94,6 +94,20 @@ def typed_ratings(raw: DataFrame) -> DataFrame:
     )
 
 
+def load_train_test(
+    spark: SparkSession, train_path: str, test_path: str, header: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Train and test rating files through the same loader:
+    (user_id, item_id, rating) each."""
+
+    def load(path: str) -> DataFrame:
+        return typed_ratings(read_ratings_file(spark, path, header)).select(
+            "user_id", "item_id", "rating"
+        )
+
+    return load(train_path), load(test_path)
+
+
 def rating_rejects(raw: DataFrame) -> DataFrame:
     """Lines of a rating file that do not give a typed rating."""
     return raw.where(~_rating_line_ok(raw.columns))

@@ -65,3 +65,13 @@ def test_to_tsv_round_trip(spark):
     back = sorted(tuple(r) for r in parse_stream_lines(lines).collect())
     assert back == [(1, 2, 3.0), (4, 5, 1.5)]
     assert sorted(r.line for r in to_tsv(df).collect()) == ["1\t2\t3.0", "4\t5\t1.5"]
+
+
+def test_train_and_test_files_share_one_loader(spark):
+    from ratewise.sources import load_train_test
+
+    tr = _write_text(spark, ["1,10,4.0,t1", "2,11,3.0,t2", "bad,1,1,t"])
+    te = _write_text(spark, ["3,12,5.0,t3"])
+    train, test = load_train_test(spark, tr, te)
+    assert sorted(tuple(r) for r in train.collect()) == [(1, 10, 4.0), (2, 11, 3.0)]
+    assert [tuple(r) for r in test.collect()] == [(3, 12, 5.0)]
