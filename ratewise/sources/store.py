@@ -127,12 +127,14 @@ class KeyedStore:
 
         ``puts`` has (rowkey, family, qualifier, value) plus the columns in
         ``order``, which must order puts of one cell totally (the value is
-        the last tie-break). Null values are not puts.
+        the last tie-break). Null values and null or empty row keys are not
+        puts.
         """
         order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
         rank = F.struct(*order_cols, F.col("value"))
+        valid = F.col("value").isNotNull() & F.col("rowkey").isNotNull() & (F.col("rowkey") != "")
         latest = (
-            puts.where(F.col("value").isNotNull())
+            puts.where(valid)
             .groupBy(*CELL_KEY)
             .agg(F.max_by("value", rank).alias("value"))
         )

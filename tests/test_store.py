@@ -82,3 +82,12 @@ def test_failed_attempt_leftover_is_ignored_and_replaced(spark):
     _apply(store, "t", [("a", "x", "q")])
     assert store.versions("t") == [0, 1]
     assert store.read_cells("t").first().value == "q"
+
+
+def test_null_or_empty_keys_are_not_puts(spark):
+    store = KeyedStore(spark, scratch_path(spark, "kv"))
+    rows = spark.createDataFrame([(None, "a"), (1, "b"), (2, None)], "id int, v string")
+    store.put_columns("t", rows, "id", {"v": "v"})
+    empty = spark.createDataFrame([("", "c")], "id string, v string")
+    store.put_columns("t", empty, "id", {"v": "v"})
+    assert [(r.rowkey, r.value) for r in store.read_cells("t").collect()] == [("1", "b")]
