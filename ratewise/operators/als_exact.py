@@ -10,14 +10,20 @@ the convention of Spark ML's ALS). After both half steps the train and
 test RMSE are taken; a test pair whose user or item has no factor adds no
 error but counts in the denominator.
 
-Physical plan of one half step:
-  ratings -> attach the fixed side's vector (broadcast hash join when the
-  factor table is provably small, else a join against ratings that were
-  partitioned once on (key, salt)) -> per-entity sums of the upper
-  triangle of q q^T and of rating * q (partial aggregation map-side, so a
-  hot entity never sits whole in one task) -> one batched numpy solve per
-  Arrow batch of entities. Factors are written to the shared folder after
-  every half step, which cuts the lineage and survives executor loss.
+Two physical plans for a half step, chosen per side:
+
+* sums (rank <= 12 and the fixed side's factor table within the broadcast
+  bound): cached ratings -> broadcast hash join with the fixed vectors ->
+  per-entity Catalyst sums of the upper triangle of q q^T, rating * q and
+  rating^2 (partial aggregation map-side, so a hot entity never sits whole
+  in one task) -> one batched numpy solve per Arrow batch of entities;
+* blocks (otherwise): see ``blocks.py``; ratings stay partitioned by block
+  and vectors are shipped once per block.
+
+The solve also returns each entity's own squared error (from its sums),
+so the train RMSE of an epoch needs no extra pass over the ratings.
+Factors are written to the shared folder after every half step, which
+cuts the lineage and survives executor loss.
 """
 
 from __future__ import annotations
