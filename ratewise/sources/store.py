@@ -10,9 +10,11 @@ A put writes only its own cells, so its cost follows the batch, not the
 table. A read takes the newest base and the deltas after it: the base
 minus the cells any later delta touches (an anti join; the delta side is
 small) plus the newest value of each delta cell. Every ``compact_every``
-puts a new base is written. Layers are never rewritten, so a reader of
-version n is never disturbed and ``read_cells(table, n)`` gives the table
-as of batch n.
+puts a new base is written, and layers older than the ``keep_bases``
+newest bases are then deleted, so storage stays near ``keep_bases`` copies
+of the table plus recent deltas. Layers are never rewritten: a reader of
+version n is never disturbed, and ``read_cells(table, n)`` gives the
+table as of batch n for every n from the oldest kept base on.
 
 Semantics of a put batch, cell by cell: the last put of a cell (by the
 caller's order columns, value as final tie-break) replaces the stored
@@ -33,10 +35,20 @@ CELL_KEY = ["rowkey", "family", "qualifier"]
 
 
 class KeyedStore:
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = 8):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        compact_every: int = 8,
+        keep_bases: int | None = 2,
+    ):
         self.spark = spark
         self.root = root
         self.compact_every = compact_every
+        # After a compaction, layers older than the ``keep_bases`` newest
+        # bases are deleted (None keeps everything); versions from the
+        # oldest kept base on stay readable.
+        self.keep_bases = keep_bases
 
     # -- folders -----------------------------------------------------------
     def _fs_path(self, path: str):
@@ -160,6 +172,30 @@ class KeyedStore:
         if (n, "base") in layers:
             return
         self.read_cells(table).write.mode("overwrite").parquet(self._path(table, "base", n))
+        if self.keep_bases:
+            self.vacuum(table, self.keep_bases)
+
+    def vacuum(self, table: str, keep_bases: int = 2) -> list[str]:
+        """Delete layers that no read from the ``keep_bases`` newest bases on
+        needs: older bases and the deltas up to the oldest kept base.
+
+        Versions before that base can no longer be read. Returns the
+        deleted folders.
+        """
+        layers = self._layers(table)
+        bases = [n for n, k in layers if k == "base"]
+        if not bases or keep_bases < 1:
+            return []
+        cutoff = bases[-keep_bases] if len(bases) >= keep_bases else bases[0]
+        doomed = [
+            self._path(table, k, n)
+            for n, k in layers
+            if (k == "base" and n < cutoff) or (k == "delta" and n <= cutoff)
+        ]
+        for path in doomed:
+            p, fs = self._fs_path(path)
+            fs.delete(p, True)
+        return doomed
 
     def put_columns(
         self,

@@ -26,7 +26,7 @@ put = st.tuples(st.sampled_from(KEYS), st.sampled_from(QUALS), st.one_of(st.none
 def test_upsert_matches_dict_model(spark, batches):
     # Compaction every 3 puts: reads cover one delta, several deltas, and
     # a base with deltas after it.
-    store = KeyedStore(spark, scratch_path(spark, "kv"), compact_every=3)
+    store = KeyedStore(spark, scratch_path(spark, "kv"), compact_every=3, keep_bases=None)
     model = {}
     history = []
     for batch in batches:
@@ -91,3 +91,22 @@ def test_null_or_empty_keys_are_not_puts(spark):
     empty = spark.createDataFrame([("", "c")], "id string, v string")
     store.put_columns("t", empty, "id", {"v": "v"})
     assert [(r.rowkey, r.value) for r in store.read_cells("t").collect()] == [("1", "b")]
+
+
+def test_vacuum_keeps_newest_bases_and_later_versions(spark):
+    store = KeyedStore(spark, scratch_path(spark, "kv"), compact_every=2, keep_bases=1)
+    model, snaps = {}, []
+    for i in range(6):
+        batch = [("a", "x", f"v{i}"), (f"k{i}", "y", "w")]
+        _apply(store, "t", batch)
+        for k, q, v in batch:
+            model[(k, q)] = v
+        snaps.append(dict(model))
+    # Compactions at puts 1, 3 and 5; only base 5 is kept, no delta before it.
+    kinds = store._layers("t")
+    assert [layer for layer in kinds if layer[1] == "base"] == [(5, "base")]
+    assert all(n > 5 for n, k in kinds if k == "delta") or not [n for n, k in kinds if k == "delta"]
+    got = {(r.rowkey, r.qualifier): r.value for r in store.read_cells("t").collect()}
+    assert got == snaps[-1]
+    _apply(store, "t", [("a", "x", "z")])
+    assert store.read_cells("t").where("rowkey = 'a'").first().value == "z"
