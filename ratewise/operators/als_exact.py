@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -229,6 +228,12 @@ class ExactAlsResult:
     epochs: list[tuple[DataFrame, DataFrame]] = field(default_factory=list)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _write_read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
@@ -249,6 +254,7 @@ def als_exact(
     hot_rows: int | None = None,
     guard: bool = True,
     item_init: DataFrame | None = None,
+    keep_epochs: int | None = None,
 ) -> ExactAlsResult:
     """Fit factors for all users and items of ``train``.
 
@@ -262,8 +268,9 @@ def als_exact(
     fits the broadcast bound, blocks otherwise.
 
     ``history`` has one row per epoch (epoch, train_rmse, test_rmse,
-    train_known, test_known), written to the shared folder with the
-    factors, so nothing passes through the driver.
+    train_known, test_known), written to the shared folder as each epoch
+    ends, so nothing passes through the driver. ``keep_epochs`` keeps only
+    the factors of the last that many epochs on storage (None keeps all).
     """
     out_dir = out_dir or scratch_path(spark, "als")
     parts = spark.sparkContext.defaultParallelism
@@ -313,7 +320,7 @@ def als_exact(
     n_items = item_f.count()
     n_users = None
     user_f = None
-    history_rows = []
+    history_paths = []
     epochs = []
     for k in range(n_iter):
         base = os.path.join(out_dir, f"epoch={k}")
@@ -322,18 +329,25 @@ def als_exact(
             n_users = user_f.count()
         item_f = step("item_id", "user_id", user_f, n_users, os.path.join(base, "items"))
         epochs.append((user_f, item_f))
-        history_rows.append(evaluate_epoch(n_rows, test, user_f, item_f, rank, k))
+        # The epoch's losses are written now, so its factors are not needed
+        # again once the next epoch exists.
+        path = os.path.join(out_dir, "history", f"e{k}")
+        evaluate_epoch(n_rows, test, user_f, item_f, rank, k).write.mode("error").parquet(path)
+        history_paths.append(path)
+        if keep_epochs:
+            old = [os.path.join(out_dir, "init")] if k == 0 else []
+            if k - keep_epochs >= 0:
+                old.append(os.path.join(out_dir, f"epoch={k - keep_epochs}"))
+            for folder in old:
+                _delete(spark, folder)
+            epochs = epochs[-keep_epochs:]
     for side in sides.values():
         side.unpersist()
     if user_f is None:
         user_f = _write_read(
             spark, init_factors(ratings, "user_id", rank, seed), os.path.join(out_dir, "init", "users")
         )
-    history = None
-    if history_rows:
-        history = _write_read(
-            spark, reduce(DataFrame.unionByName, history_rows), os.path.join(out_dir, "history")
-        )
+    history = spark.read.parquet(*history_paths) if history_paths else None
     # Nothing returned depends on the cached inputs any more. Releasing them
     # also keeps a later read of the same, since grown, folder from matching
     # this stale cache.

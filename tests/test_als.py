@@ -165,3 +165,18 @@ def test_refit_on_grown_folder_sees_new_rows(spark):
     r2 = ax.als_exact(spark, grown, rank=2, n_iter=1, lam=0.1)
     assert r1.history.first().train_known == first.count()
     assert r2.history.first().train_known == grown.count()
+
+
+def test_keep_epochs_drops_old_factors_but_keeps_history(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from ratewise import scratch_path
+
+    df = planted(spark, n_users=20, n_items=12)
+    out = scratch_path(spark, "keep")
+    res = ax.als_exact(spark, df, rank=2, n_iter=3, lam=0.1, test=df, out_dir=out, keep_epochs=1)
+    left = sorted(os.listdir(urlparse(out).path))
+    assert left == ["epoch=2", "history"]
+    assert sorted(r.epoch for r in res.history.collect()) == [0, 1, 2]
+    assert len(res.epochs) == 1 and res.item_factors.count() == 12
