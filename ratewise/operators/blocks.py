@@ -48,6 +48,7 @@ class BlockedSide:
     need: DataFrame
     blocks: int
     partitions: int
+    has_split: bool = True
 
     def unpersist(self) -> None:
         self.ratings.unpersist()
@@ -103,7 +104,10 @@ def blocked_side(
         .distinct()
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return BlockedSide(solve_key, fixed_key, parted, need, b, parts)
+    # Without hot keys every entity is solved whole inside its block, and
+    # the merge of partial sums can be left out of the plan.
+    has_split = hot.limit(1).count() > 0
+    return BlockedSide(solve_key, fixed_key, parted, need, b, parts, has_split)
 
 
 def _block_fn(side: BlockedSide, rank: int, lam: float, reg: str, guard: bool, chunk: int):
@@ -243,6 +247,8 @@ def blocked_half_step(
         out.write.mode("error").parquet(out_path)
         out = spark.read.parquet(out_path)
     whole = out.where(F.col("features").isNotNull()).select("id", "features", "sse")
+    if not side.has_split:
+        return whole
     parts = out.where(F.col("v").isNotNull())
     merged = (
         parts.select("id", array_to_vector("v").alias("v"))
