@@ -92,11 +92,25 @@ def blocked_side(
         "rating",
         F.col("_n_salt").isNotNull().alias("_split"),
     )
-    parted = (
-        tagged.repartition(parts, "_blk")
-        .sortWithinPartitions("_blk", solve_key)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    # The cache must keep its hash partitioning on the block, so that every
+    # half step's co-group reuses it instead of shuffling the ratings again.
+    # A cached adaptive plan reports no partitioning, so this one cached
+    # plan is built with adaptive execution off (queries on it keep it on).
+    spark = ratings.sparkSession
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        parted = (
+            tagged.repartition(parts, "_blk")
+            .sortWithinPartitions("_blk", solve_key)
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
     # Own column names: ``need`` descends from ``parted`` and is co-grouped
     # with it later, so its columns must not share ids with it.
     need = (

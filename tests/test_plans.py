@@ -38,3 +38,19 @@ def test_top_n_has_no_pair_join(spark):
     p = plan(top_n_exact(spark, users, items, 2, 5))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "SortMergeJoin"):
         assert node not in p
+
+
+def test_blocked_half_step_does_not_reshuffle_ratings(spark):
+    from ratewise.operators.blocks import blocked_half_step, blocked_side
+
+    train, _ = C._train_test(spark, SF_SMALL)
+    r = train.select("user_id", "item_id", "rating").persist()
+    side = blocked_side(r, "user_id", "item_id", r.count(), min_blocks=4)
+    items = ax.init_factors(r, "item_id", 3)
+    lines = plan(blocked_half_step(spark, side, items, 200, 3, 0.1)).splitlines()
+    at = next(i for i, line in enumerate(lines) if "FlatMapCoGroupsInPandas" in line)
+    # The ratings child of the co-group is the cached, block-partitioned
+    # scan itself: no exchange and no sort in between.
+    assert "InMemoryTableScan" in lines[at + 1]
+    side.unpersist()
+    r.unpersist()
