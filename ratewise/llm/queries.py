@@ -3,12 +3,18 @@
 from ratewise.llm.bpe import op7_byte_bpe
 from ratewise.llm.chat import OP10_SQL, op10_chat
 from ratewise.llm.html import op6_html_text
+from ratewise.llm.jaccard import op4_jaccard
 from ratewise.llm.lines import OP5_SQL, op5_line_dedup
+from ratewise.llm.lm import op3_gru_lm
+from ratewise.llm.toxicity import op8_toxicity
 
 LLM_QUERIES = {
+    "op3_gru_lm": op3_gru_lm,
+    "op4_jaccard": op4_jaccard,
     "op5_line_dedup": op5_line_dedup,
     "op6_html_text": op6_html_text,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_toxicity": op8_toxicity,
     "op10_chat": op10_chat,
 }
 LLM_ORACLE = {"op5_line_dedup": OP5_SQL, "op10_chat": OP10_SQL}
