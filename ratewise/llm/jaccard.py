@@ -38,6 +38,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from ratewise.llm.common import ship_package, small, table, written
 
@@ -53,15 +54,19 @@ _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxh3_64_intdigest(word)
+        return h
+
+
 class Shingler:
     """Sorted distinct gram hashes of texts; remembers word hashes."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
+        self.known = _WordHashes()
 
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
-        from xxhash import xxh3_64_intdigest
-
         words, sizes, known = [], [], self.known
         for t in texts:
             w = (t or "").encode().lower().split()
@@ -69,9 +74,6 @@ class Shingler:
             sizes.append(len(w))
         if len(known) > REMEMBERED:
             known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = xxh3_64_intdigest(w)
         a = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         h = np.zeros(len(a), np.uint64)
         for j in range(WIDTH):
@@ -107,8 +109,6 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list]
 
 
 def _digest(s: np.ndarray) -> int:
-    from xxhash import xxh3_64_intdigest
-
     return xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
@@ -202,9 +202,11 @@ def _sizes_fit(n: str, m: str) -> Column:
 
 
 def _index(rows: DataFrame) -> DataFrame:
-    """(key, node, n, s, cut, l): each node's prefix grams that other nodes have.
+    """(key, node, n, s, cut, l, r): each node's prefix grams that other nodes have.
 
-    s: such grams in the base prefix; cut: its last key; l: matches asked for.
+    s: such grams in the base prefix; cut: its last key; l: matches asked for;
+    r: place of the gram among the node's base grams, the least shared first
+    (none for the grams that further matches added).
     """
     key = Window.partitionBy("key")
     shared = rows.withColumn("df", F.count("*").over(key)).where("df > 1 OR last").drop("df")
@@ -222,8 +224,9 @@ def _index(rows: DataFrame) -> DataFrame:
     for x in range(MAX_MATCH, 0, -1):
         l = F.when(F.col(f"c{x}") == best, x).otherwise(l)
     nodes = nodes.where("s > 0").select("node", "cut", "s", l.alias("l"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("level", "df", "key"))
     return written(shared.where("df > 1").join(nodes, "node").where("level <= l").select(
-        "key", "node", "n", "s", "cut", "l"), "gram-index")
+        "key", "node", "n", "s", "cut", "l", place.alias("r")).withColumn("r", F.when(F.col("r") <= F.col("s"), F.col("r"))), "gram-index")
 
 
 def _pivots(index: DataFrame) -> DataFrame:
@@ -243,15 +246,20 @@ def _rest(index: DataFrame, labels: DataFrame) -> DataFrame:
     i = index.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     i = i.withColumn("lo", F.min("label").over(key)).withColumn("hi", F.max("label").over(key)).where("lo <> hi").drop("lo", "hi")
     i = i.withColumn("least", F.greatest(F.min("n").over(key), F.expr(f"({PERCENT} * n + 99) div 100")))
-    x = i.where(F.col("s") >= _need("n", "least")).select("key", *(F.col(c).alias(f"{c}1") for c in ("node", "n", "s", "cut", "l", "label")))
-    y = i.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "cut", "l", "label")))
+    x = i.where((F.col("s") >= _need("n", "least")) & F.col("r").isNotNull()).select(
+        "key", *(F.col(c).alias(f"{c}1") for c in ("node", "n", "s", "cut", "r", "label")))
+    y = i.select("key", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "cut", "label")))
+    # Sharing m of a node's s grams takes one of any s - m + 1 of them: the least shared.
     pairs = x.join(y, "key").where(
-        (F.col("label1") != F.col("label2")) & _sizes_fit("n1", "n2") & (F.col("s1") >= _need("n1", "n2"))
+        (F.col("label1") != F.col("label2")) & _sizes_fit("n1", "n2") & (F.col("r1") <= F.col("s1") - _need("n1", "n2") + 1)
         & ((F.col("cut1") < F.col("cut2")) | (F.col("cut1") == F.col("cut2")) & (F.col("node1") < F.col("node2"))))
-    need = _need("n1", "n2")
-    return pairs.groupBy("node1", "node2").agg(
-        F.count("*").alias("c"), F.sum((F.col("key") <= F.col("cut1")).cast("int")).alias("base"),
-        F.first(F.least("l1", "l2")).alias("l"), F.first(need).alias("need")).where("c >= l AND base >= need").select(
+    pairs = pairs.select("node1", "node2").distinct()
+    each = index.groupBy("node").agg(F.collect_list("key").alias("keys"), *(F.first(c).alias(c) for c in ("n", "cut", "l")))
+    one, two = (each.select(*(F.col(c).alias(f"{c}{k}") for c in each.columns)) for k in (1, 2))
+    both = F.array_intersect("keys1", "keys2")
+    return pairs.join(one, "node1").join(two, "node2").withColumn("both", both).where(
+        (F.size("both") >= F.least("l1", "l2"))
+        & (F.size(F.filter("both", lambda k: k <= F.col("cut1"))) >= _need("n1", "n2"))).select(
         F.col("node1").alias("a"), F.col("node2").alias("b"))
 
 
