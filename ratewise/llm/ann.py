@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -211,7 +211,7 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP + 1, share: floa
                     d = np.sqrt(((x[at:to, None] - vecs[None]) ** 2).sum(2))
                     asked = np.zeros((to - at, k), bool)
                     part = lists.slice(at, to - at)
-                    asked[np.repeat(np.arange(to - at), pa.compute.list_value_length(part).to_numpy()), part.flatten().to_numpy()] = True
+                    asked[np.repeat(np.arange(to - at), pc.list_value_length(part).to_numpy()), part.flatten().to_numpy()] = True
                     d[~asked[:, second]] = np.inf
                     near = np.argsort(d, axis=1, kind="stable")[:, :top]  # equal distances stay by id
                     for i in range(to - at):

@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,7 +118,7 @@ def _gram_times(space: Space, w: np.ndarray, ids: np.ndarray, passage: np.ndarra
 def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """(ids of documents, word ids, lengths), about ``CHUNK_ENTRIES`` * 8 words at a time."""
     col = batch.column(1)
-    n = pa.compute.list_value_length(col).to_numpy(zero_copy_only=False)
+    n = pc.list_value_length(col).to_numpy(zero_copy_only=False)
     total = np.cumsum(n)
     at = 0
     while at < batch.num_rows:
