@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import ship_package, table, written
 
 PASSAGE = 64
-MAX_DF, RAREST = 0.01, 8
-RANK, OVERSAMPLE, SEED = 128, 16, 3
+MAX_DF, RAREST = 0.005, 8
+RANK, OVERSAMPLE, SEED = 64, 8, 3
 COSINE, COPIED, PARAPHRASED, ANSWER = 0.4, 0.7, 0.5, 0.8
 BLOCK_ITEMS = 1000
 CHUNK_ENTRIES = 60_000
