@@ -45,7 +45,7 @@ from ratewise.llm.common import ship_package, table, written
 PASSAGE = 64
 MAX_DF, RAREST = 0.005, 8
 RANK, OVERSAMPLE, SEED = 64, 8, 3
-COSINE, COPIED, PARAPHRASED, ANSWER = 0.4, 0.7, 0.5, 0.8
+COSINE, COPIED, PARAPHRASED, ANSWER = 0.45, 0.7, 0.5, 0.8
 BLOCK_ITEMS = 1000
 CHUNK_ENTRIES = 60_000
 _WORDS = re.compile(r"\w+").findall
