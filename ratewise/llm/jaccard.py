@@ -76,8 +76,8 @@ class Shingler:
             known.clear()
         a = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         h = np.zeros(len(a), np.uint64)
-        for j in range(WIDTH):
-            h[:len(a) - j or None] += a[j:] * _M[j]
+        for j in range(min(WIDTH, len(a))):
+            h[:len(a) - j] += a[j:] * _M[j]
         h = _mixed(h)
         out, at = [], 0
         for n in sizes:
