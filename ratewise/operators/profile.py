@@ -63,4 +63,5 @@ def nan_guard(df: DataFrame, columns: list[str]) -> DataFrame:
     for c in checks[1:]:
         any_bad = any_bad | c
     guard = F.assert_true(~any_bad, F.lit("NaN in normal equations"))
-    return df.withColumn("_nan_guard", guard).drop("_nan_guard")
+    # As a filter the optimizer has to keep it, whatever columns are read later.
+    return df.where(guard.isNull())

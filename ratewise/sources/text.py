@@ -98,12 +98,19 @@ def load_train_test(
     spark: SparkSession, train_path: str, test_path: str, header: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test rating files through the same loader:
-    (user_id, item_id, rating) each."""
+    (user_id, item_id, rating) each.
+
+    Only the first three fields count: a line may have no time, or further
+    fields. Lines without a valid user, item or rating give no row.
+    """
 
     def load(path: str) -> DataFrame:
-        return typed_ratings(read_ratings_file(spark, path, header)).select(
-            "user_id", "item_id", "rating"
+        raw = read_ratings_file(spark, path, header).select(
+            F.col("user").try_cast("int").alias("user_id"),
+            F.col("movie").try_cast("int").alias("item_id"),
+            F.col("rating").try_cast("double").alias("rating"),
         )
+        return raw.dropna()
 
     return load(train_path), load(test_path)
 
