@@ -90,7 +90,7 @@ class ConvNet:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-PAD = max(WIDTHS) - 1
+PAD = max(WIDTHS)  # a window on an empty text must not reach the next text
 
 
 def train(texts: list[list[str]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> ConvNet:
