@@ -61,7 +61,8 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     rows = docs.select("doc_id", "source", "lang", "text")
-    ids = bpe.encode(rows, ranks, pattern)
+    # Written in between, so that a task runs one Python worker, not two.
+    ids = written(bpe.encode(rows, ranks, pattern), "token-ids")
     back = bpe.decode(ids, ranks, pattern)
     text = F.coalesce("text", F.lit("")).cast("binary")
     return back.select("doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids",

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +41,26 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task function that gives its memory back to the system when it ends.
+
+    Python workers are reused: what one stage freed but kept would stay in the
+    executor's memory during all later stages.
+    """
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def hash_mod(col: str, m: int):
     """crc32 of the id as decimal text, modulo ``m``."""
     return F.crc32(F.col(col).cast("string")) % F.lit(m)
@@ -50,5 +74,5 @@ def free_name(base: str, taken: Sequence[str]) -> str:
     return base
 
 
-__all__ = ["BROADCAST_ROWS", "table", "written", "small", "hash_mod", "free_name",
+__all__ = ["BROADCAST_ROWS", "table", "written", "small", "lean", "hash_mod", "free_name",
            "scratch_path", "ship_package"]

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import ship_package, table, written
+from ratewise.llm.common import lean, ship_package, table, written
 
 PASSAGE = 64
 MAX_DF, RAREST = 0.005, 8
@@ -161,7 +161,7 @@ def _corpus_product(seqs: DataFrame, space: Space, w: np.ndarray) -> tuple[np.nd
 
     schema = "n bigint, blob binary"
     some = max(1, int(seqs.rdd.getNumPartitions() ** 0.5))
-    got = seqs.mapInArrow(run, schema).repartition(some).mapInArrow(_sum_blobs, schema).collect()
+    got = seqs.mapInArrow(lean(run), schema).repartition(some).mapInArrow(_sum_blobs, schema).collect()
     total = np.zeros(w.shape)
     for r in got:
         total += np.frombuffer(bytes(r["blob"]), np.float32).reshape(w.shape)
@@ -195,7 +195,7 @@ def _block(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32())), pa.array([[*df, passages]], pa.list_(pa.int64()))], ["doc_id", "seq", "df"])
 
-    stored = written(docs.mapInArrow(encode, "doc_id bigint, seq array<int>, df array<bigint>"), "leak-sequences")
+    stored = written(docs.mapInArrow(lean(encode), "doc_id bigint, seq array<int>, df array<bigint>"), "leak-sequences")
     seqs = stored.where("seq IS NOT NULL").select("doc_id", "seq")
     counts = stored.where("df IS NOT NULL").select(F.posexplode("df").alias("w", "c")).groupBy("w").agg(F.sum("c").alias("c"))
     count = np.zeros(len(vocab) + 1)
@@ -251,7 +251,7 @@ def _block(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
                         [doc_ids.take(pa.array(doc)), pa.array([item_ids[i] for i in item], pa.int64()), pa.array(cosine, pa.float64()),
                          pa.array(ratio, pa.float64()), pa.array(answer, pa.float64())], ["doc_id", "item_id", "cosine", "lcs", "answer"])
 
-    return seqs.mapInArrow(search, "doc_id bigint, item_id bigint, cosine double, lcs double, answer double")
+    return seqs.mapInArrow(lean(search), "doc_id bigint, item_id bigint, cosine double, lcs double, answer double")
 
 
 def _candidates(space: Space, ids: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, float, int]]:

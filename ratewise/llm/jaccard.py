@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from ratewise.llm.common import ship_package, small, table, written
+from ratewise.llm.common import lean, ship_package, small, table, written
 
 WIDTH = 5
 PERCENT = 80
@@ -48,8 +48,9 @@ MAX_MATCH = 4
 #: Frequent grams that are moved to the end of the order; only speed depends on it.
 FREQUENT, FREQUENT_MIN, LOCAL_MIN, LOCAL_TOP = 1 << 18, 8, 2, 1 << 16
 VERIFY_COST = 20
-CHUNK_WORDS = 500_000
-REMEMBERED = 500_000
+CHUNK_WORDS = 250_000
+HELD_GRAMS = 2_000_000
+REMEMBERED = 150_000
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -97,7 +98,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list]]:
-    """Ids and texts, about a million words at a time."""
+    """Ids and texts, about ``CHUNK_WORDS`` words at a time."""
     for b in batches:
         lengths = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False))
         at = 0
@@ -139,13 +140,13 @@ def _nodes_and_frequent(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), none, none],
                 ["doc_id", "n", "node", "gram", "c"])
-            if size > 8 * CHUNK_WORDS:
+            if size > HELD_GRAMS:
                 yield frequent()
                 held, size = [], 0
         if held:
             yield frequent()
 
-    return written(docs.mapInArrow(run, "doc_id bigint, n bigint, node bigint, gram bigint, c bigint"), "grams")
+    return written(docs.mapInArrow(lean(run), "doc_id bigint, n bigint, node bigint, gram bigint, c bigint"), "grams")
 
 
 def _alpha(n):
@@ -188,7 +189,7 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     [pa.array(np.concatenate(x)) for x in (keys, nodes, ns, [x.astype(np.int8) for x in levels], lasts)],
                     ["key", "node", "n", "level", "last"])
 
-    return docs.mapInArrow(run, "key bigint, node bigint, n int, level tinyint, last boolean")
+    return docs.mapInArrow(lean(run), "key bigint, node bigint, n int, level tinyint, last boolean")
 
 
 def _need(n: str, m: str) -> Column:
@@ -286,10 +287,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     # One document for each node: of repeated ids, that whose digest is the node.
-    found = docs.join(ids, "doc_id").select("_node", "text").mapInArrow(sets, "node bigint, grams binary").dropDuplicates(["node"])
+    found = docs.join(ids, "doc_id").select("_node", "text").mapInArrow(lean(sets), "node bigint, grams binary").dropDuplicates(["node"])
     a, b = (found.select(F.col("node").alias(x), F.col("grams").alias(f"{x}_grams")) for x in "ab")
     return written(pairs.join(a, "a").join(b, "b").select("a", "b", "a_grams", "b_grams").mapInArrow(
-        check, "a bigint, b bigint"), "gram-links")
+        lean(check), "a bigint, b bigint"), "gram-links")
 
 
 def components(edges: DataFrame) -> DataFrame:

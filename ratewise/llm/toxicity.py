@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import free_name, hash_mod, ship_package, table
+from ratewise.llm.common import free_name, hash_mod, lean, ship_package, table
 
 MAX_PER_CLASS = 4000
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 6, (1, 2, 3)
 PREFIXES = (4, 6)
 EPOCHS, BATCH, RATE, SEED = 6, 64, 0.1, 7
 RUN = 50_000
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -315,7 +315,7 @@ def score(docs: DataFrame, net: ConvNet | float) -> DataFrame:
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
                        + [f"`{names[0]}` double, `{names[1]}` double, `{names[2]}` boolean"])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
