@@ -47,7 +47,8 @@ MAX_DF, RAREST = 0.005, 8
 RANK, OVERSAMPLE, SEED = 64, 8, 3
 COSINE, COPIED, PARAPHRASED, ANSWER = 0.45, 0.7, 0.5, 0.8
 BLOCK_ITEMS = 1000
-CHUNK_ENTRIES = 60_000
+CHUNK_ENTRIES = 20_000
+CHUNK_WINDOWS = 2048
 _WORDS = re.compile(r"\w+").findall
 
 
@@ -268,8 +269,8 @@ def _candidates(space: Space, ids: np.ndarray, n: np.ndarray) -> Iterator[tuple[
     f = f[at]
     a, b = np.searchsorted(at, lo), np.searchsorted(at, hi)
     some = np.flatnonzero(b - a >= 2)
-    for i in range(0, len(some), 8192):
-        part = some[i:i + 8192]
+    for i in range(0, len(some), CHUNK_WINDOWS):
+        part = some[i:i + CHUNK_WINDOWS]
         base = a[part[0]]
         sums = np.concatenate([np.zeros((1, space.vectors.shape[1])), np.cumsum(space.vectors[f[base:b[part].max()]], axis=0, dtype=np.float64)])
         x = (sums[b[part] - base] - sums[a[part] - base]).astype(np.float32)
