@@ -258,7 +258,8 @@ def als_exact(
 ) -> ExactAlsResult:
     """Fit factors for all users and items of ``train``.
 
-    Item factors start from a deterministic random vector per id, or from
+    Rows with a null id or rating are no observations: they are left out in
+    every method. Item factors start from a deterministic random vector per id, or from
     ``item_init`` (warm start). User start vectors are never read: the first
     half step overwrites every user.
 
@@ -274,7 +275,7 @@ def als_exact(
     """
     out_dir = out_dir or scratch_path(spark, "als")
     parts = spark.sparkContext.defaultParallelism
-    ratings = train.select("user_id", "item_id", "rating").persist(StorageLevel.MEMORY_AND_DISK)
+    ratings = train.select("user_id", "item_id", "rating").dropna().persist(StorageLevel.MEMORY_AND_DISK)
     if test is not None:
         test = test.select("user_id", "item_id", "rating").persist(StorageLevel.MEMORY_AND_DISK)
     n_rows = ratings.count()

@@ -3,9 +3,11 @@
 import numpy as np
 import pytest
 
+from ratewise.operators.als_exact import als_exact
 from ratewise.operators.profile import nan_guard
 from ratewise.operators.recommend import _top_rows, rank_candidates
 from ratewise.sources import load_train_test
+from ratewise.streaming.refresh import RefreshConfig, StreamRefresher
 
 
 def test_nan_guard_fires_for_every_action(spark):
@@ -32,3 +34,27 @@ def test_half_way_scores_order_alike(spark):
     got = [r["item_id"] for r in rank_candidates(rows, 5).orderBy("rank").collect()]
     key = np.round(scores[0], 6)
     assert got == sorted(range(5), key=lambda i: (-key[i], i))
+
+
+def test_null_ratings_are_left_out_in_every_method(spark):
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(6) for i in range(5)]
+    schema = "user_id int, item_id int, rating double"
+    clean = spark.createDataFrame(rows, schema)
+    dirty = spark.createDataFrame([*rows, (0, 1, None), (None, 1, 2.0), (1, None, 2.0)], schema)
+    got = []
+    for df, method in ((clean, "sums"), (dirty, "sums"), (dirty, "blocks")):
+        res = als_exact(spark, df, rank=2, n_iter=2, method=method)
+        got.append({r["id"]: r["features"] for r in res.user_factors.collect()})
+        assert res.history.first()["train_known"] == len(rows)
+    for other in got[1:]:
+        assert got[0].keys() == other.keys()
+        assert all(abs(a - b) < 1e-9 for k in got[0] for a, b in zip(got[0][k], other[k], strict=True))
+
+
+def test_a_retried_batch_refits_the_exact_model(spark, tmp_path):
+    ref = StreamRefresher(spark, str(tmp_path), config=RefreshConfig(rank=2, max_iter=1, top_n=2, model="exact"))
+    batch = spark.createDataFrame([("1\t1\t3.0 1\t2\t4.0",), ("2\t1\t5.0",)], "value string")
+    ref.refresh(batch, 0)
+    first = sorted(map(tuple, ref.published().collect()))
+    ref.refresh(batch, 0)
+    assert sorted(map(tuple, ref.published().collect())) == first
