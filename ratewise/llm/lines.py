@@ -2,8 +2,9 @@
 
 Documents are grouped by host (a column of the table, or the host of a URL).
 A line is boilerplate on a host when it stands on more than ``ratio`` of that
-host's pages, and on at least ``min_pages`` of them; every such line is then
-taken out of that host's documents.
+host's pages, and on at least ``min_pages`` of them (a line on fewer pages does
+not repeat: two pages may be one copied pair); every such line is then taken
+out of that host's documents.
 
 Work and skew: the lines of one document are made distinct inside the row, so
 a pair (host, line) is counted by plain partial sums and no key is ever
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import BROADCAST_ROWS, free_name, table, written
 
 RATIO = 0.01
+REPEATS = 3
+#: The floor in OP5_SQL, which the query op5_line_dedup has to match.
 MIN_PAGES = 10
 SALTS = 64
 _SPACE = " \t\r\f\x0b"
@@ -44,7 +47,7 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+                min_pages: int = REPEATS) -> DataFrame:
     """(host, h, n, pages, total) of every line above ``ratio`` on its host."""
     pages = docs.select(F.col(host).alias("host"), F.coalesce("text", F.lit("")).alias("text"))
     totals = pages.groupBy("host").agg(F.count("*").alias("total"))
@@ -58,7 +61,7 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO,
 
 
 def dedup_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
+                min_pages: int = REPEATS) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``.
 
     Adds ``n_lines`` and ``n_dropped`` (renamed with leading underscores if
@@ -86,9 +89,9 @@ def dedup_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO,
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its lines after site-relative line dedup."""
+    """Every document with its lines after site-relative line dedup, by the floor of OP5_SQL."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return dedup_lines(docs).select(
+    return dedup_lines(docs, min_pages=MIN_PAGES).select(
         "doc_id", "n_lines", "n_dropped", F.coalesce("text", F.lit("")).alias("kept_text"))
 
 

@@ -7,6 +7,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ratewise.llm import bpe, chat, html, lines
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -118,3 +119,15 @@ def test_line_dedup(spark, docs):
 def test_host_of(spark):
     df = spark.createDataFrame([("https://Www.A.org/x",), ("src1",), (None,)], "u string")
     assert [r[0] for r in df.select(lines.host_of(F.col("u"))).collect()] == ["www.a.org", "src1", None]
+
+
+def test_line_dedup_ratio_alone_decides(spark):
+    rows = [(i, f"own {i}" + ("\nlicense" if i < 9 else "") + ("\npair" if i < 2 else ""), "big") for i in range(500)]
+    rows += [(1000 + i, f"mine {i}\nfooter", "small") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, df, "").collect()}
+    assert got[0] == "own 0\npair" and got[8] == "own 8"  # 9 of 500 pages are 1.8 %
+    assert got[1003] == "mine 3"  # six of six pages
+    # The same share on ten times as many pages decides alike.
+    many = spark.createDataFrame([(i, f"mine {i}\nfooter", "small") for i in range(60)], df.schema)
+    assert {r["text"] for r in corpus_pipeline.drop_lines(spark, many, "").collect()} == {f"mine {i}" for i in range(60)}
