@@ -7,8 +7,10 @@ text, and a logistic layer scores the maxima. Embeddings, filters and layer
 are trained by back-propagation (Adagrad) on the driver from a bounded sample
 of labelled rows: at most about ``max_per_class`` of either class, taken by a
 hash of the id. The first embedding coordinate starts at the shrunk log-odds
-of each bucket. The class shares of all labelled rows correct the bias, and a
-part of the sample that is not trained on calibrates one threshold a language.
+of each bucket. The class shares of all labelled rows correct the bias. All
+labelled rows that were not trained on are scored in tasks and counted by
+language, label and score bin; from these counts comes one threshold for each
+language, shrunk to the common one by ``PRIOR`` rows of label 1.
 
 The model (about 2 MB) goes to the tasks; a task scores whole texts, in runs
 of bounded length whose maxima are merged, so memory does not grow with a
@@ -16,7 +18,7 @@ text. Language decides only between score and verdict, never the score.
 
 Defined results: null and empty texts, and texts without a letter, score what
 an empty text scores; labels that are null are left out, repeated labels of
-one id count once (their largest); without labels of both classes every score
+one id count once (their largest), with one of its texts; without labels of both classes every score
 is the share of label 1 (0 without labels); a null or unknown language takes
 the common threshold; repeated rows give repeated results.
 """
@@ -33,12 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import free_name, hash_mod, lean, ship_package, table
+from ratewise.llm.common import BROADCAST_ROWS, free_name, hash_mod, lean, ship_package, table
 
 MAX_PER_CLASS = 4000
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 6, (1, 2, 3)
 PREFIXES = (4, 6)
 EPOCHS, BATCH, RATE, SEED = 6, 64, 0.1, 7
+BIN, Z_MAX = 0.05, 16.5  # score bins, in log-odds
+BINS = round(2 * Z_MAX / BIN)
+PRIOR = 20
 RUN = 50_000
 REMEMBERED = 50_000
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -230,30 +235,52 @@ class Scorer:
         return self.net.finish(top)
 
 
-def _thresholds(net: ConvNet, score: np.ndarray, y: np.ndarray, lang: list, odds: float) -> None:
-    """Threshold of the best F1 for each language; ``odds`` weighs label 0."""
+def _best(pos: np.ndarray, neg: np.ndarray) -> float:
+    """Log-odds of the best F1, between two filled bins; counts are in order of the bins."""
+    tp, fp = np.cumsum(pos[::-1]), np.cumsum(neg[::-1])
+    filled = np.flatnonzero((pos + neg)[::-1] > 0)
+    i = int((2 * tp / (tp + fp + tp[-1]))[filled].argmax())
+    low = len(pos) - filled[i]  # the lowest bin taken ends here, counted from above
+    under = len(pos) - filled[i + 1] if i + 1 < len(filled) else low - 1
+    return ((low - 1 + under) / 2) * BIN - Z_MAX
 
-    def best(s: np.ndarray, t: np.ndarray) -> float:
-        order = np.argsort(-s, kind="stable")
-        s, t = s[order], t[order]
-        tp, fp = np.cumsum(t), np.cumsum(1 - t) * odds
-        last = np.append(s[1:] != s[:-1], True)
-        f1 = np.where(last, 2 * tp / (tp + fp + t.sum()), 0)
-        i = int(f1.argmax())
-        mid = (s[i] + (s[i + 1] if i + 1 < len(s) else 0)) / 2
-        return float(np.clip(mid, 1e-6, 1 - 1e-6))
 
-    if 0 < y.sum() < len(y):
-        net.threshold = best(score, y)
-    langs = np.array([str(x) for x in lang])
-    for x in np.unique(langs):
-        m = langs == x
-        if y[m].sum() >= 20 and (1 - y[m]).sum() >= 20:
-            net.thresholds[str(x)] = best(score[m], y[m])
+def _thresholds(hist: dict[str | None, np.ndarray], odds: float) -> tuple[float, dict[str, float]]:
+    """Common threshold and that of each language, as log-odds.
+
+    ``hist`` has the counts by label and bin, the null language's under None;
+    ``odds`` weighs label 0. Every language is judged by its own rows together
+    with the rows of all, scaled to ``PRIOR`` rows of label 1, so its threshold
+    moves from the common one as far as it has rows, whatever their number.
+    """
+    both = {x: h * np.array([[odds], [1.0]]) for x, h in hist.items()}
+    every = sum(both.values())
+    common = _best(every[1], every[0])
+    prior = every * (PRIOR / every[1].sum())
+    return common, {x: _best(*(h + prior)[::-1]) for x, h in both.items() if x is not None}
+
+
+def _histogram(docs: DataFrame, y: DataFrame, net: ConvNet) -> dict[str | None, np.ndarray]:
+    """Counts by language, label and score bin of all labelled ``docs``, one text for each id.
+
+    Texts are not shuffled: labels go to them when few, else ids and bins go to the labels.
+    """
+    few = y.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    s = score(docs.join(F.broadcast(y), "doc_id") if few else docs, net)
+    at = F.least(F.greatest(F.col("score"), F.lit(1e-7)), F.lit(1 - 1e-7))
+    at = F.floor((F.log(at / (1 - at)) + Z_MAX) / BIN).cast("int")
+    s = s.select("doc_id", F.struct(F.xxhash64("text").alias("t"), "lang", at.alias("at")).alias("one"), *(["y"] if few else []))
+    s = s.groupBy("doc_id", *(["y"] if few else [])).agg(F.min("one").alias("one"))
+    hist: dict[str | None, np.ndarray] = {}
+    for r in (s if few else s.join(y, "doc_id")).groupBy("one.lang", "one.at", "y").count().collect():
+        lang = None if r["lang"] is None else str(r["lang"])
+        hist.setdefault(lang, np.zeros((2, BINS)))[r["y"], r["at"]] += r["count"]
+    return hist
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn, max_per_class: int = MAX_PER_CLASS) -> ConvNet | float:
-    """Train on a bounded sample of the labelled ``docs`` for which ``learn`` holds.
+    """Train on a bounded sample of the labelled ``docs`` for which ``learn`` holds,
+    calibrate on all the others.
 
     ``learn`` is a condition on doc_id. Returns the net, or the share of label
     1 where one class has no rows.
@@ -266,25 +293,21 @@ def fit(docs: DataFrame, labels: DataFrame, learn, max_per_class: int = MAX_PER_
     share = F.lit(0.0)
     for k in (0, 1):
         share = F.when(F.col("y") == k, min(1.0, max_per_class / count[k])).otherwise(share)
-    sample = y.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
-    got = docs.select("doc_id", "text", "lang").join(F.broadcast(sample), "doc_id").withColumn(
+    y = y.withColumn("sampled", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000).withColumn(
         "held", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(5)) == 0)
+    docs = docs.select("doc_id", "text", "lang").where(learn)
+    got = docs.join(F.broadcast(y.where("sampled")), "doc_id").groupBy("doc_id", "y", "held").agg(F.max("text").alias("text"))
     # The sample's rows come in no set order: sort them for repeatable fits.
-    rows = sorted(got.collect(), key=lambda r: (r["doc_id"], r["text"] or ""))
+    rows = sorted(got.collect(), key=lambda r: r["doc_id"])
     fit_rows = [r for r in rows if not r["held"]] or rows
     net = train([words(r["text"]) for r in fit_rows], np.array([r["y"] for r in fit_rows]))
     net.out_bias += float(np.log(count[1] / count[0]))  # it was trained as if both classes were as many
-    cal = [r for r in rows if r["held"]]
-    if cal:
-        cy = np.array([r["y"] for r in cal])
-        pos, neg = max(1, int(cy.sum())), max(1, int((1 - cy).sum()))
-        texts, langs, odds = [r["text"] for r in cal], [r["lang"] for r in cal], count[0] / count[1] * pos / neg
-        _thresholds(net, Scorer(net).scores(texts), cy, langs, odds)
-        if 0 < cy.sum() < len(cy):  # move the common threshold to one half
-            net.out_bias -= float(np.log(net.threshold / (1 - net.threshold)))
-            net.threshold, net.thresholds = 0.5, {}
-            _thresholds(net, Scorer(net).scores(texts), cy, langs, odds)
-            net.threshold = 0.5
+    hist = _histogram(docs, y.where("held OR NOT sampled").select("doc_id", "y"), net)
+    neg, pos = sum(hist.values(), np.zeros((2, BINS))).sum(1)
+    if neg and pos:  # move the common threshold to one half
+        common, own = _thresholds(hist, count[0] / count[1] * pos / neg)
+        net.out_bias -= common
+        net.thresholds = {x: float(1 / (1 + np.exp(common - z))) for x, z in own.items()}
     return net
 
 

@@ -235,6 +235,40 @@ def test_toxicity(spark):
     assert toxicity.score(df.limit(0), net).count() == 0
 
 
+def test_toxicity_thresholds_of_every_language(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(20)) + (" vileo" if i % 20 == 0 else ""),
+             "fr" if i % 3 == 0 else "de" if i % 3 == 1 else None) for i in range(1200)]
+    df = spark.createDataFrame([*rows, (0, None, "fr"), (7, "again", "de")], "doc_id bigint, text string, lang string")
+    lab = spark.createDataFrame([(i, int(i % 20 == 0)) for i, _, _ in rows], "doc_id bigint, toxic int")
+    y = lab.withColumnRenamed("toxic", "y")
+    net = toxicity.fit(df, lab, F.lit(True), max_per_class=40)
+    assert set(net.thresholds) == {"fr", "de"}  # 20 toxic rows each, most of them trained on
+    seen = toxicity._histogram(df, y, net)
+    assert {x: h.sum(1).tolist() for x, h in seen.items()} == {"fr": [380, 20], "de": [380, 20], None: [380, 20]}
+    old, toxicity.BROADCAST_ROWS = toxicity.BROADCAST_ROWS, 10
+    try:
+        assert all((h == seen[x]).all() for x, h in toxicity._histogram(df, y, net).items())
+    finally:
+        toxicity.BROADCAST_ROWS = old
+
+
+def test_toxicity_thresholds_move_with_their_rows():
+    def hist(n, cut):  # label 0 below the cut, label 1 above it
+        h = np.zeros((2, toxicity.BINS))
+        h[0, cut - 40:cut], h[1, cut:cut + 40] = n, n / 10
+        return h
+
+    got = {}
+    for n in (0.01, 1, 10, 1000):
+        common, own = toxicity._thresholds({"en": hist(1000, 300), "xx": hist(n, 330), None: hist(1, 300)}, 1.0)
+        got[n] = own["xx"]
+        assert set(own) == {"en", "xx"}
+        if n < 1:
+            assert own["xx"] == common == own["en"]
+    assert sorted(got.values()) == list(got.values()) and got[0.01] < -1.4 and got[1000] > -0.1
+
+
 def test_runs_of_long_texts_keep_every_window():
     net = toxicity.train([["a", "b"], ["c"]], np.array([1, 0]), epochs=1)
     text, old = " ".join(random.Random(1).choices("abcdefg", k=500)), toxicity.RUN
