@@ -199,6 +199,20 @@ def test_language_model_sums_to_one_and_carries_state(spark):
     assert a == pytest.approx(b, abs=1e-4)
 
 
+def test_language_model_state_reaches_words_beyond_rank_1024(spark):
+    counts = spark.range(3000).select(F.concat(F.lit("w"), "id").cast("binary").alias("word"), (5000 - F.col("id")).alias("c"))
+    lay = lm.layout(counts)[0]
+    p = lay.start()
+    gates = p["E"] @ p["Wx"] + p["b"]
+    rare = len(lay.words) + lm.rare_class(b"w1500")
+    word, ends = lay.ids.get(b"w1500", rare), []
+    for before in ([0] * 9, [700] * 9):  # P(word | class, state) must differ, not only P(class | state)
+        score = lambda *x: lm.log10_scores(p, lay, [np.array([*before, *x])], gates)[0]  # noqa: B023, E731
+        peer = next(i for i in range(len(lay.words)) if i != word and lay.class_of(np.array([i])) == lay.class_of(np.array([word])))
+        ends.append(score(word) - score(peer))
+    assert abs(ends[0] - ends[1]) > 1e-6
+
+
 def test_language_model_nothing_to_learn(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     counts = lm.count_tokens(empty)
