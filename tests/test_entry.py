@@ -3,7 +3,7 @@ import os
 import duckdb
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 QUICK = ["rating_profile", "train_test_split", "entity_lists", "history_union", "to_tsv",
          "factor_init", "normal_eq_user", "als_half_step_user", "affected_users"]

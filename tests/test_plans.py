@@ -7,7 +7,7 @@ from ratewise.operators.recommend import top_n_exact
 from ratewise.plans import catalog as C
 from ratewise.sources import ratings_s
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def plan(df) -> str:
