@@ -1,19 +1,5 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-from ratewise import build_session  # noqa: E402
-
-
-@pytest.fixture(scope="session")
-def spark():
-    s = build_session(cpus=4, shuffle_partitions=4, driver_memory="4g")
-    yield s
-    s.stop()
-
 
 @pytest.fixture
 def docs(spark):
