@@ -39,10 +39,21 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.vectors import dot, init_vector, triangle_index
 from ratewise.operators.blocks import BLOCK_ROWS, blocked_half_step, blocked_side
-from ratewise.operators.joins import fits_broadcast
+from ratewise.operators.joins import fits_broadcast, lookup
 from ratewise.session import scratch_path
 
-FACTOR_SCHEMA = "id int, features array<double>, sse double"
+FACTOR_SCHEMA = "id int, features array<double>, sse double, n long"
+
+
+def weighted(ratings: DataFrame) -> DataFrame:
+    """Equal observations as one row with a ``weight`` (how often it stands).
+
+    Rows with a null id or rating are no observations. Equal rows are summed
+    map-side first, so a key whose ratings are all alike shrinks before it is
+    shuffled, and what is left of a hot key differs row by row.
+    """
+    cols = ["user_id", "item_id", "rating"]
+    return ratings.select(*cols).dropna().groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
 def init_factors(ids: DataFrame, id_col: str, rank: int, seed: int = 0) -> DataFrame:
@@ -58,20 +69,22 @@ SUMS_MAX_RANK = 12
 def normal_equations(joined: DataFrame, key: str, rank: int) -> DataFrame:
     """Per entity: n, upper triangle of sum q q^T, sum rating * q, sum rating^2.
 
-    ``joined`` has ``key``, ``rating`` and the fixed side's vector ``f``.
+    ``joined`` has ``key``, ``rating``, the fixed side's vector ``f`` and, if
+    equal observations were put together, their ``weight``.
     One Catalyst ``sum`` per triangle cell: code-generated, partially
     aggregated map-side, so a hot entity is never gathered whole. Meant for
     small ranks; r(r+1)/2 sums grow the generated code quickly, and above
     rank 12 the blocked half step (``blocks.py``) is used instead.
     """
     f, r = F.col("f"), F.col("rating")
-    tri = [F.sum(f[a] * f[b]) for a, b in triangle_index(rank)]
-    rhs = [F.sum(f[a] * r) for a in range(rank)]
+    w = F.col("weight") if "weight" in joined.columns else F.lit(1.0)
+    tri = [F.sum(w * f[a] * f[b]) for a, b in triangle_index(rank)]
+    rhs = [F.sum(w * f[a] * r) for a in range(rank)]
     return joined.groupBy(key).agg(
-        F.count(F.lit(1)).cast("long").alias("n"),
+        F.sum(w).cast("long").alias("n"),
         F.array(*tri).alias("ata"),
         F.array(*rhs).alias("atb"),
-        F.sum(r * r).alias("rr"),
+        F.sum(w * r * r).alias("rr"),
     )
 
 
@@ -98,7 +111,8 @@ def _solver(key: str, rank: int, lam: float, reg: str, guard: bool = True):
             x = np.linalg.solve(a, b[..., None])[..., 0]
             sse = fit_sse(pdf["rr"].to_numpy(dtype=float), b, plain, x)
             yield pd.DataFrame(
-                {"id": pdf[key].to_numpy(dtype="int32"), "features": list(x), "sse": sse}
+                {"id": pdf[key].to_numpy(dtype="int32"), "features": list(x), "sse": sse,
+                 "n": pdf["n"].to_numpy(dtype="int64")}
             )
 
     return solve
@@ -137,10 +151,11 @@ def update_factors(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def attach_factors(ratings: DataFrame, factors: DataFrame, key: str) -> DataFrame:
-    """Broadcast lookup of the ``key`` side's vector as ``f`` (inner join)."""
-    f = factors.select(F.col("id").alias(key), F.col("features").alias("f"))
-    return ratings.join(F.broadcast(f), key)
+def attach_factors(
+    ratings: DataFrame, factors: DataFrame, key: str, rank: int, n_rows: int | None = None
+) -> DataFrame:
+    """The ``key`` side's vector as ``f`` (inner join, broadcast only within the bound)."""
+    return lookup(ratings, factors, key, "f", rank, n_rows=n_rows)
 
 
 def half_step(
@@ -152,24 +167,26 @@ def half_step(
     lam: float,
     reg: str = "plain",
     guard: bool = True,
+    n_fixed: int | None = None,
 ) -> DataFrame:
     """New factors for ``solve_key`` entities given ``fixed`` factors.
 
-    Broadcast lookup + Catalyst sums + batched solve; the caller checks
-    that ``fixed`` is small enough to broadcast (see ``als_exact``).
+    Lookup (its kind chosen by the exact size of ``fixed``) + Catalyst sums +
+    batched solve. ``n_fixed`` saves the count where the caller has it.
     """
-    joined = attach_factors(ratings, fixed, fixed_key)
-    neq = normal_equations(joined.select(solve_key, "rating", "f"), solve_key, rank)
+    joined = attach_factors(ratings, fixed, fixed_key, rank, n_fixed)
+    cols = [c for c in (solve_key, "rating", "weight", "f") if c in joined.columns]
+    neq = normal_equations(joined.select(*cols), solve_key, rank)
     return solve_factors(neq, solve_key, rank, lam, reg, guard)
 
 
 def rmse_frame(
-    ratings: DataFrame, user_f: DataFrame, item_f: DataFrame, rank: int, split: str
+    ratings: DataFrame, user_f: DataFrame, item_f: DataFrame, rank: int, split: str,
+    n_users: int | None = None, n_items: int | None = None,
 ) -> DataFrame:
     """SSE over known pairs, known count and all rows, tagged by split."""
-    u = user_f.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
-    i = item_f.select(F.col("id").alias("item_id"), F.col("features").alias("v"))
-    j = ratings.select("user_id", "item_id", "rating").join(u, "user_id", "left").join(i, "item_id", "left")
+    j = lookup(ratings.select("user_id", "item_id", "rating"), user_f, "user_id", "u", rank, "left", n_users)
+    j = lookup(j, item_f, "item_id", "v", rank, "left", n_items)
     known = F.col("u").isNotNull() & F.col("v").isNotNull()
     err = F.pow(F.col("rating") - dot(F.col("u"), F.col("v"), rank), 2)
     return j.select(
@@ -186,22 +203,24 @@ def evaluate_epoch(
     item_f: DataFrame,
     rank: int,
     epoch: int,
+    n_users: int | None = None,
+    n_items: int | None = None,
 ) -> DataFrame:
     """One row: epoch, train RMSE and test RMSE (sqrt(SSE known / all rows)).
 
-    The train error is the sum of the per-item ``sse`` the item step
-    wrote (every train pair is known after an epoch); the test error joins
-    the test rows to both factor tables.
+    The train error and the known train pairs are the sums of the ``sse`` and
+    ``n`` that the item step wrote per item (it joins only pairs of known
+    users); the test error joins the test rows to both factor tables.
     """
-    tr = item_f.agg(F.sum("sse").alias("sse")).select(
+    tr = item_f.agg(F.sum("sse").alias("sse"), F.sum("n").alias("n_known")).select(
         F.lit("train").alias("split"),
         "sse",
         F.lit(n_train).cast("long").alias("n_all"),
-        F.lit(n_train).cast("long").alias("n_known"),
+        F.coalesce("n_known", F.lit(0)).cast("long").alias("n_known"),
     )
     parts = tr
     if test is not None:
-        te = rmse_frame(test, user_f, item_f, rank, "test").agg(
+        te = rmse_frame(test, user_f, item_f, rank, "test", n_users, n_items).agg(
             F.sum("sq").alias("sse"),
             F.count(F.lit(1)).cast("long").alias("n_all"),
             F.count(F.when(F.col("known"), 1)).cast("long").alias("n_known"),
@@ -236,7 +255,8 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def _write_read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    # With the schema at hand no job has to read footers first.
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def als_exact(
@@ -259,7 +279,7 @@ def als_exact(
     """Fit factors for all users and items of ``train``.
 
     Rows with a null id or rating are no observations: they are left out in
-    every method. Item factors start from a deterministic random vector per id, or from
+    every method; equal rows are put together with a weight. Item factors start from a deterministic random vector per id, or from
     ``item_init`` (warm start). User start vectors are never read: the first
     half step overwrites every user.
 
@@ -275,10 +295,11 @@ def als_exact(
     """
     out_dir = out_dir or scratch_path(spark, "als")
     parts = spark.sparkContext.defaultParallelism
-    ratings = train.select("user_id", "item_id", "rating").dropna().persist(StorageLevel.MEMORY_AND_DISK)
+    ratings = weighted(train).persist(StorageLevel.MEMORY_AND_DISK)
     if test is not None:
         test = test.select("user_id", "item_id", "rating").persist(StorageLevel.MEMORY_AND_DISK)
-    n_rows = ratings.count()
+    n_rows, n_train = ratings.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0.0)).cast("long")).first()
 
     def pick(n_fixed: int) -> str:
         if method != "auto":
@@ -306,7 +327,7 @@ def als_exact(
         side = side_for(solve_key, fixed_key, n_fixed)
         if side is None:
             return _write_read(
-                spark, half_step(ratings, fixed, fixed_key, solve_key, rank, lam, reg, guard), path
+                spark, half_step(ratings, fixed, fixed_key, solve_key, rank, lam, reg, guard, n_fixed), path
             )
         return blocked_half_step(spark, side, fixed, n_fixed, rank, lam, reg, guard, path)
 
@@ -322,6 +343,7 @@ def als_exact(
     n_users = None
     user_f = None
     history_paths = []
+    history_schema = None
     epochs = []
     for k in range(n_iter):
         base = os.path.join(out_dir, f"epoch={k}")
@@ -333,7 +355,9 @@ def als_exact(
         # The epoch's losses are written now, so its factors are not needed
         # again once the next epoch exists.
         path = os.path.join(out_dir, "history", f"e{k}")
-        evaluate_epoch(n_rows, test, user_f, item_f, rank, k).write.mode("error").parquet(path)
+        losses = evaluate_epoch(n_train, test, user_f, item_f, rank, k, n_users, n_items)
+        losses.write.mode("error").parquet(path)
+        history_schema = losses.schema
         history_paths.append(path)
         if keep_epochs:
             old = [os.path.join(out_dir, "init")] if k == 0 else []
@@ -348,7 +372,7 @@ def als_exact(
         user_f = _write_read(
             spark, init_factors(ratings, "user_id", rank, seed), os.path.join(out_dir, "init", "users")
         )
-    history = spark.read.parquet(*history_paths) if history_paths else None
+    history = spark.read.schema(history_schema).parquet(*history_paths) if history_paths else None
     # Nothing returned depends on the cached inputs any more. Releasing them
     # also keeps a later read of the same, since grown, folder from matching
     # this stale cache.

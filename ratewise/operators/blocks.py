@@ -1,9 +1,10 @@
 """Blocked half step: ratings stay put, fixed-side vectors travel once per block.
 
 Set-up, once per side (solve key S, fixed key X):
+  * equal ratings are one row with a weight (``als_exact.weighted``),
   * every S key goes to a block ``pmod(xxhash64(S, salt), B)``; a key with
-    more than ``hot_rows`` ratings is split into ceil(n / hot_rows) salts, so
-    no block holds a hot key whole,
+    more than ``hot_rows`` different ratings is split into ceil(n / hot_rows)
+    salts of (X, rating), so no block holds a hot key whole,
   * ratings are hash-partitioned on the block, sorted by (block, S) and
     persisted; they are never shuffled again,
   * ``need`` lists the distinct (X, block) pairs: which blocks use which
@@ -33,7 +34,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.operators.joins import fits_broadcast
+from ratewise.operators.joins import factor_bytes, sized
 
 BLOCK_ROWS = 1_000_000
 PARTITION_ROWS = 16_000_000
@@ -49,8 +50,11 @@ class BlockedSide:
     blocks: int
     partitions: int
     has_split: bool = True
+    hot: DataFrame | None = None
 
     def unpersist(self) -> None:
+        if self.hot is not None:
+            self.hot.unpersist()
         self.ratings.unpersist()
         self.need.unpersist()
 
@@ -76,11 +80,15 @@ def blocked_side(
     parts = max(min(b, min_blocks), min(b, math.ceil(n_rows / partition_rows)))
     hot_rows = hot_rows or max(1, block_rows // 4)
     counts = ratings.groupBy(solve_key).agg(F.count(F.lit(1)).alias("n"))
-    # At most n_rows / hot_rows keys are hot, which bounds this broadcast.
     hot = counts.where(F.col("n") > hot_rows).select(
         solve_key, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("_n_salt")
     )
-    tagged = ratings.select(solve_key, fixed_key, "rating").join(F.broadcast(hot), solve_key, "left")
+    # At most n_rows / hot_rows keys are hot; their count is exact all the same.
+    hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
+    n_hot = hot.count()
+    weight = F.col("weight") if "weight" in ratings.columns else F.lit(1.0)
+    tagged = ratings.select(solve_key, fixed_key, "rating", weight.alias("weight"))
+    tagged = tagged.join(sized(hot, 64, n_hot), solve_key, "left") if n_hot else tagged.withColumn("_n_salt", F.lit(None).cast("int"))
     salt = F.when(
         F.col("_n_salt").isNotNull(),
         F.pmod(F.xxhash64(fixed_key, "rating"), F.col("_n_salt")),
@@ -90,6 +98,7 @@ def blocked_side(
         solve_key,
         fixed_key,
         "rating",
+        "weight",
         F.col("_n_salt").isNotNull().alias("_split"),
     )
     # The cache must keep its hash partitioning on the block, so that every
@@ -120,8 +129,7 @@ def blocked_side(
     )
     # Without hot keys every entity is solved whole inside its block, and
     # the merge of partial sums can be left out of the plan.
-    has_split = hot.limit(1).count() > 0
-    return BlockedSide(solve_key, fixed_key, parted, need, b, parts, has_split)
+    return BlockedSide(solve_key, fixed_key, parted, need, b, parts, n_hot > 0, hot)
 
 
 def _block_fn(side: BlockedSide, rank: int, lam: float, reg: str, guard: bool, chunk: int):
@@ -147,6 +155,7 @@ def _block_fn(side: BlockedSide, rank: int, lam: float, reg: str, guard: bool, c
         srt = np.argsort(keys, kind="stable")
         keys, pos = keys[srt], pos[srt]
         rat = r["rating"].to_numpy(dtype=float)[srt]
+        weight = r["weight"].to_numpy(dtype=float)[srt]
         split = r["_split"].to_numpy()[srt]
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         ends = np.r_[starts[1:], len(keys)]
@@ -157,11 +166,12 @@ def _block_fn(side: BlockedSide, rank: int, lam: float, reg: str, guard: bool, c
             g1 = max(g0 + 1, int(np.searchsorted(ends, starts[g0] + chunk, side="right")))
             lo, hi = starts[g0], ends[g1 - 1]
             q = mat[pos[lo:hi]]
+            wq = q * weight[lo:hi, None]
             rel = starts[g0:g1] - lo
-            sums[g0:g1, 0] = ends[g0:g1] - starts[g0:g1]
-            sums[g0:g1, 1 : 1 + t] = np.add.reduceat(q[:, iu[0]] * q[:, iu[1]], rel, axis=0)
-            sums[g0:g1, 1 + t : 1 + t + rank] = np.add.reduceat(q * rat[lo:hi, None], rel, axis=0)
-            sums[g0:g1, -1] = np.add.reduceat(rat[lo:hi] ** 2, rel)
+            sums[g0:g1, 0] = np.add.reduceat(weight[lo:hi], rel)
+            sums[g0:g1, 1 : 1 + t] = np.add.reduceat(wq[:, iu[0]] * q[:, iu[1]], rel, axis=0)
+            sums[g0:g1, 1 + t : 1 + t + rank] = np.add.reduceat(wq * rat[lo:hi, None], rel, axis=0)
+            sums[g0:g1, -1] = np.add.reduceat(weight[lo:hi] * rat[lo:hi] ** 2, rel)
             g0 = g1
         if guard and np.isnan(sums).any():
             raise ValueError(f"NaN in normal equations of {s_key}")
@@ -218,7 +228,8 @@ def _merge_solver(rank: int, lam: float, reg: str):
             sums = np.stack(pdf["s"].to_numpy())
             x, sse = solve_rows(sums, rank, lam, reg)
             yield pd.DataFrame(
-                {"id": pdf["id"].to_numpy(dtype="int32"), "features": list(x), "sse": sse}
+                {"id": pdf["id"].to_numpy(dtype="int32"), "features": list(x), "sse": sse,
+                 "n": sums[:, 0].astype("int64")}
             )
 
     return run
@@ -241,9 +252,7 @@ def blocked_half_step(
     from pyspark.ml.stat import Summarizer
 
     x = side.fixed_key
-    f = fixed.select(F.col("id").alias(x), F.col("features").alias("f"))
-    if fits_broadcast(spark, n_fixed, rank):
-        f = F.broadcast(f)
+    f = sized(fixed.select(F.col("id").alias(x), F.col("features").alias("f")), factor_bytes(1, rank), n_fixed)
     shipped = (
         side.need.join(f, side.need["_x"] == f[x])
         .select(F.col("_nblk").alias("_blk"), F.col("_x").alias(x), "f")
@@ -259,8 +268,8 @@ def blocked_half_step(
     )
     if out_path is not None:
         out.write.mode("error").parquet(out_path)
-        out = spark.read.parquet(out_path)
-    whole = out.where(F.col("features").isNotNull()).select("id", "features", "sse")
+        out = spark.read.schema(out.schema).parquet(out_path)
+    whole = out.where(F.col("features").isNotNull()).select("id", "features", "sse", "n")
     if not side.has_split:
         return whole
     parts = out.where(F.col("v").isNotNull())
@@ -269,6 +278,6 @@ def blocked_half_step(
         .groupBy("id")
         .agg(Summarizer.sum(F.col("v")).alias("s"))
         .select("id", vector_to_array("s").alias("s"))
-        .mapInPandas(_merge_solver(rank, float(lam), reg), "id int, features array<double>, sse double")
+        .mapInPandas(_merge_solver(rank, float(lam), reg), "id int, features array<double>, sse double, n long")
     )
     return whole.unionByName(merged)

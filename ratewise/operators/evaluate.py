@@ -7,20 +7,11 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.vectors import dot
 from ratewise.operators.als_exact import evaluate_epoch, rmse_frame
-from ratewise.operators.joins import fits_broadcast
+from ratewise.operators.joins import lookup
 
 __all__ = ["evaluate_epoch", "known_pairs", "predict_pairs", "rmse", "rmse_frame"]
 
 
-def _lookup(spark: SparkSession, df: DataFrame, factors: DataFrame, key: str, alias: str,
-            rank: int, how: str) -> DataFrame:
-    f = factors.select(F.col("id").alias(key), F.col("features").alias(alias))
-    n = factors.count()
-    if fits_broadcast(spark, n, rank):
-        f = F.broadcast(f)
-    return df.join(f, key, how)
-
-
 def known_pairs(
     spark: SparkSession,
     ratings: DataFrame,
@@ -32,9 +23,9 @@ def known_pairs(
     """Ratings whose user / item / both have factors (semi joins)."""
     out = ratings
     if which in ("user", "both"):
-        out = _lookup(spark, out, user_f.select("id", "features"), "user_id", "_u", rank, "left_semi")
+        out = lookup(out, user_f, "user_id", "_u", rank, "left_semi")
     if which in ("item", "both"):
-        out = _lookup(spark, out, item_f.select("id", "features"), "item_id", "_v", rank, "left_semi")
+        out = lookup(out, item_f, "item_id", "_v", rank, "left_semi")
     return out
 
 
@@ -42,8 +33,8 @@ def predict_pairs(
     spark: SparkSession, ratings: DataFrame, user_f: DataFrame, item_f: DataFrame, rank: int
 ) -> DataFrame:
     """(user_id, item_id, rating, prediction) for pairs with both factors."""
-    j = _lookup(spark, ratings.select("user_id", "item_id", "rating"), user_f, "user_id", "u", rank, "inner")
-    j = _lookup(spark, j, item_f, "item_id", "v", rank, "inner")
+    j = lookup(ratings.select("user_id", "item_id", "rating"), user_f, "user_id", "u", rank)
+    j = lookup(j, item_f, "item_id", "v", rank)
     return j.select(
         "user_id", "item_id", "rating", dot(F.col("u"), F.col("v"), rank).alias("prediction")
     )

@@ -294,7 +294,7 @@ def q_known_pairs(spark, sf):
 def q_nan_guard(spark, sf):
     train, _ = _train_test(spark, sf)
     items0 = ax.init_factors(train, "item_id", P.EXACT_RANK, P.EXACT_SEED)
-    joined = ax.attach_factors(train, items0, "item_id")
+    joined = ax.attach_factors(ax.weighted(train), items0, "item_id", P.EXACT_RANK)
     neq = nan_guard(ax.normal_equations(joined, "user_id", P.EXACT_RANK), ["ata", "atb"])
     return neq.agg(F.count(F.lit(1)).cast("long").alias("n_checked"))
 
@@ -315,22 +315,24 @@ def _neq_rows(neq: DataFrame, key: str) -> DataFrame:
 def q_normal_eq_user(spark, sf):
     train, _ = _train_test(spark, sf)
     items0 = ax.init_factors(train, "item_id", P.EXACT_RANK, P.EXACT_SEED)
-    joined = ax.attach_factors(train, items0, "item_id")
+    joined = ax.attach_factors(ax.weighted(train), items0, "item_id", P.EXACT_RANK)
     return _neq_rows(ax.normal_equations(joined, "user_id", P.EXACT_RANK), "user_id")
 
 
 def q_normal_eq_item(spark, sf):
     train, _ = _train_test(spark, sf)
     users0 = ax.init_factors(train, "user_id", P.EXACT_RANK, P.EXACT_SEED)
-    joined = ax.attach_factors(train, users0, "user_id")
+    joined = ax.attach_factors(ax.weighted(train), users0, "user_id", P.EXACT_RANK)
     return _neq_rows(ax.normal_equations(joined, "item_id", P.EXACT_RANK), "item_id")
 
 
 def _first_user_step(spark, sf):
     train, _ = _train_test(spark, sf)
     items0 = ax.init_factors(train, "item_id", P.EXACT_RANK, P.EXACT_SEED)
-    users1 = ax.half_step(train, items0, "item_id", "user_id", P.EXACT_RANK, P.EXACT_LAMBDA)
-    return train, users1
+    observed = ax.weighted(train)
+    users1 = ax.half_step(observed, items0, "item_id", "user_id", P.EXACT_RANK, P.EXACT_LAMBDA)
+    # Written, as its size is counted before the next step reads it.
+    return observed, ax._write_read(spark, users1, scratch_path(spark, "users1"))
 
 
 def q_als_half_step_user(spark, sf):
@@ -339,8 +341,8 @@ def q_als_half_step_user(spark, sf):
 
 
 def q_als_half_step_item(spark, sf):
-    train, users1 = _first_user_step(spark, sf)
-    items1 = ax.half_step(train, users1, "user_id", "item_id", P.EXACT_RANK, P.EXACT_LAMBDA)
+    observed, users1 = _first_user_step(spark, sf)
+    items1 = ax.half_step(observed, users1, "user_id", "item_id", P.EXACT_RANK, P.EXACT_LAMBDA)
     return _factor_rows(items1, "item_id")
 
 
