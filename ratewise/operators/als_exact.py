@@ -143,6 +143,32 @@ def solve_factors(
     return neq.mapInPandas(_solver(key, rank, float(lam), reg, guard), FACTOR_SCHEMA)
 
 
+def check_factors(
+    observed: DataFrame, fixed: DataFrame, solved: DataFrame, fixed_key: str, solve_key: str,
+    rank: int, lam: float, reg: str = "plain", tolerance: float = 1e-4,
+) -> DataFrame:
+    """(id, n, solved): whether each entity's factor solves its normal equations.
+
+    (A + lam_e I) x = b within ``tolerance`` of the size of its terms, where A
+    and b come anew from the observations and the other side's factors: a check
+    of any fit, whatever its start and its arithmetic. An entity without a
+    factor is not solved.
+    """
+    joined = attach_factors(observed, fixed, fixed_key, rank)
+    neq = normal_equations(joined, solve_key, rank)
+    x, shift = F.col("x"), F.lit(float(lam)) * (F.col("n") if reg == "count" else F.lit(1.0))
+    place = {pair: k for k, pair in enumerate(triangle_index(rank))}
+    off, size = [], []
+    for a in range(rank):
+        terms = [F.col("ata")[place[min(a, b), max(a, b)]] * x[b] for b in range(rank)] + [shift * x[a]]
+        b_a = F.col("atb")[a]
+        off.append(F.abs(sum(terms[1:], terms[0]) - b_a))
+        size.append(F.abs(b_a) + sum((F.abs(t) for t in terms[1:]), F.abs(terms[0])))
+    fits = F.greatest(*off) <= F.lit(tolerance) * F.greatest(*size) if rank > 1 else off[0] <= F.lit(tolerance) * size[0]
+    return lookup(neq, solved, solve_key, "x", rank, "left").select(
+        F.col(solve_key).alias("id"), "n", F.coalesce(fits, F.lit(False)).alias("solved"))
+
+
 def update_factors(old: DataFrame, new: DataFrame) -> DataFrame:
     """Entities without a solved row keep their old factor."""
     n = new.select("id", F.col("features").alias("_new"))

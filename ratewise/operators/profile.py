@@ -27,13 +27,21 @@ def split_flag(user: Column, item: Column, test_modulus: int, cold_user_modulus:
     )
 
 
-def rating_profile(train: DataFrame, test: DataFrame) -> DataFrame:
-    """Train rows, test rows, users and items with train ratings (one row)."""
-    cols = ["user_id", "item_id"]
-    tagged = train.select(*cols, F.lit(True).alias("_train")).unionByName(
-        test.select(*cols, F.lit(False).alias("_train"))
-    )
-    is_train = F.col("_train")
+def tag_split(
+    ratings: DataFrame, test_modulus: int = 10, cold_user_modulus: int = 50, flag: str = "is_test"
+) -> DataFrame:
+    """``ratings`` with the split of ``split_train_test`` as a column, so that
+    one pass can serve both sides."""
+    is_test = split_flag(F.col("user_id"), F.col("item_id"), test_modulus, cold_user_modulus)
+    return ratings.withColumn(flag, F.coalesce(is_test, F.lit(False)))
+
+
+def rating_profile(tagged: DataFrame) -> DataFrame:
+    """Train rows, test rows, users and items with train ratings (one row).
+
+    ``tagged`` has (user_id, item_id, is_test): one scan, one aggregation.
+    """
+    is_train = ~F.col("is_test")
     return tagged.agg(
         F.count(F.when(is_train, 1)).cast("long").alias("n_train"),
         F.count(F.when(~is_train, 1)).cast("long").alias("n_test"),
@@ -44,9 +52,11 @@ def rating_profile(train: DataFrame, test: DataFrame) -> DataFrame:
 
 def entity_lists(train: DataFrame) -> DataFrame:
     """Distinct users and items of the train set: (entity, id)."""
-    users = train.select(F.lit("user").alias("entity"), F.col("user_id").alias("id")).distinct()
-    items = train.select(F.lit("item").alias("entity"), F.col("item_id").alias("id")).distinct()
-    return users.unionByName(items)
+    both = F.array(
+        F.struct(F.lit("user").alias("entity"), F.col("user_id").alias("id")),
+        F.struct(F.lit("item").alias("entity"), F.col("item_id").alias("id")),
+    )
+    return train.select(F.inline(both)).distinct()
 
 
 def nan_guard(df: DataFrame, columns: list[str]) -> DataFrame:

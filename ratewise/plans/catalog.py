@@ -23,28 +23,33 @@ from ratewise.operators.profile import (
     rating_profile,
     split_flag,
     split_train_test,
+    tag_split,
 )
 from ratewise.operators.recommend import (
     affected_users,
+    check_top_n,
     publish_strings,
+    published_rows,
     top_n_exact,
 )
 from ratewise.plans import params as P
 from ratewise.session import scratch_path
 from ratewise.sources import (
     check_ratings_file,
+    item_rejects,
     items_table,
+    load_train_test,
     parse_stream_lines,
     ratings_b,
     ratings_s,
     read_items_file,
     read_ratings_file,
     to_tsv,
-    typed_ratings,
+    train_test_rejects,
     users_table,
     write_csv,
 )
-from ratewise.sources.store import KeyedStore
+from ratewise.sources.store import KeyedStore, put_all_ratings, put_ratings, typed_rating_cells
 from ratewise.sources.text import TS_FORMAT
 from ratewise.streaming.refresh import RefreshConfig, StreamRefresher
 from ratewise.streaming.replay import SlotReplay, write_replay
@@ -105,16 +110,36 @@ def q_scan_check(spark, sf):
 
 
 def q_ratings_typed(spark, sf):
-    # Raw layer: append-only string rows; the typed scan casts and caches.
-    raw_path = scratch_path(spark, "t_ratings_raw")
-    ratings_b(spark, sf).select(
-        F.col("user_id").cast("string").alias("user"),
-        F.col("item_id").cast("string").alias("movie"),
-        F.col("rating").cast("string").alias("rating"),
-        F.date_format("ts", TS_FORMAT).alias("time"),
-    ).write.parquet(raw_path)
-    typed = typed_ratings(spark.read.parquet(raw_path))
-    return typed.select("user_id", "item_id", "rating").persist()
+    # Every rating put as cells, and read back typed.
+    store = _store(spark)
+    put_all_ratings(store, "t_ratings", ratings_b(spark, sf))
+    return typed_rating_cells(store, "t_ratings").drop("rowkey")
+
+
+def q_load_train_test(spark, sf):
+    # A train file of three fields a line and a test file of five.
+    train, test = _train_test(spark, sf)
+    root = scratch_path(spark, "split_csv")
+    write_csv(train, os.path.join(root, "train"))
+    write_csv(test.withColumns({"time": F.lit("2024-01-01 00:00:00"), "more": F.lit("x")}), os.path.join(root, "test"))
+    loaded = load_train_test(spark, os.path.join(root, "train"), os.path.join(root, "test"))
+    return loaded[0].withColumn("split", F.lit("train")).unionByName(loaded[1].withColumn("split", F.lit("test")))
+
+
+def q_load_rejects(spark, sf):
+    # Event rows carry a word where the user id belongs, part rows no name.
+    root = scratch_path(spark, "reject_csv")
+    train, _ = _train_test(spark, sf)
+    write_csv(train, os.path.join(root, "train"))
+    ev = ratings_s(spark, sf).join(
+        spark.read.parquet(os.path.join(sf, "events.parquet")).select("event_id", "event_type"), "event_id")
+    write_csv(ev.select("event_type", "item_id", "rating"), os.path.join(root, "test"))
+    write_csv(items_table(spark, sf).select("item_id", F.lit(None).cast("string").alias("name"), "price"), os.path.join(root, "items"))
+    lines = train_test_rejects(spark, os.path.join(root, "train"), os.path.join(root, "test")).select(
+        F.col("split").alias("file"), F.col("user").alias("first"), F.col("movie").alias("second"), F.col("rating").alias("third"))
+    items = item_rejects(spark, os.path.join(root, "items")).select(
+        F.lit("items").alias("file"), F.col("movie_id").alias("first"), F.col("name").alias("second"), F.col("price").alias("third"))
+    return lines.unionByName(items)
 
 
 def q_train_test_split(spark, sf):
@@ -160,15 +185,19 @@ def q_store_keys(spark, sf):
     return store.keys(t)
 
 
-def q_ratings_by_time(spark, sf):
+def _by_time(spark, sf) -> KeyedStore:
     store = _store(spark)
-    rb = ratings_b(spark, sf)
-    store.put_columns(
-        "t_ratings", rb, F.date_format("ts", TS_FORMAT),
-        {"userId": "user_id", "movieId": "item_id", "rating": "rating"},
-        order=["user_id", "item_id", "rating"],
-    )
-    return store.read_wide("t_ratings", ["userId", "movieId", "rating"])
+    put_ratings(store, "t_ratings", ratings_b(spark, sf), F.date_format("ts", TS_FORMAT),
+                order=["user_id", "item_id", "rating"])
+    return store
+
+
+def q_ratings_by_time(spark, sf):
+    return _by_time(spark, sf).read_wide("t_ratings", ["userId", "movieId", "rating"])
+
+
+def q_rating_cells_typed(spark, sf):
+    return typed_rating_cells(_by_time(spark, sf), "t_ratings")
 
 
 def _stream_lines(spark, sf, slots: int) -> str:
@@ -220,13 +249,15 @@ def q_replay_batches(spark, sf):
     return spark.read.parquet(out).select("user_id", "item_id", "rating", "slot")
 
 
-def _refresher(spark, sf, slots: int, refit_every: int, config: RefreshConfig | None = None) -> StreamRefresher:
+def _refresher(
+    spark, sf, slots: int, refit_every: int, config: RefreshConfig | None = None, seed: DataFrame | None = None
+) -> StreamRefresher:
     rep = _slot_replay(spark, sf, slots)
     ref = StreamRefresher(
         spark, scratch_path(spark, "refresh"),
         config=config or RefreshConfig(P.WR_RANK, P.WR_ITER, P.WR_LAMBDA, P.TOP_N, refit_every),
     )
-    ref.seed_history(ratings_b(spark, sf))
+    ref.seed_history(ratings_b(spark, sf) if seed is None else seed)
     ref.replay(rep, scratch_path(spark, "replay"))
     rep.release()
     return ref
@@ -254,19 +285,72 @@ def q_stream_refresh_exact(spark, sf):
     return ref.published().select("rowkey", F.col("recMovies").alias("rec_movies"))
 
 
+def _every2(spark, sf, seed: DataFrame | None = None) -> StreamRefresher:
+    cfg = RefreshConfig(
+        P.EXACT_RANK, P.EXACT_EPOCHS, P.EXACT_LAMBDA, P.TOP_N, 2, P.EXACT_SEED, model="exact"
+    )
+    return _refresher(spark, sf, P.REPLAY_SLOTS, 2, cfg, seed)
+
+
+def q_stream_refresh_every2(spark, sf):
+    # A refit every second batch publishes the users of both.
+    ref = _every2(spark, sf)
+    return ref.published().select("rowkey", F.col("recMovies").alias("rec_movies"))
+
+
+def q_stream_unknown_users(spark, sf):
+    # Stored ratings without the cold users: a batch between two refits meets users its model lacks.
+    train, _ = _train_test(spark, sf)
+    return _every2(spark, sf, train).batch_users().select(
+        F.col("batch_id").cast("long").alias("round"), "user_id", "in_model")
+
+
+def q_stream_refresh_certificate(spark, sf):
+    # The lists of the last batch's users are the best of the model that the last refit left.
+    ref = _refresher(spark, sf, P.REFRESH_SLOTS, 1)
+    last = ref.batch_users().where(F.col("batch_id") == P.REFRESH_SLOTS - 1).select(F.col("user_id").cast("string").alias("rowkey"))
+    users_f, items_f = ref.model()
+    lists = ref.published().join(last, "rowkey", "left_semi")
+    return check_top_n(spark, published_rows(lists, users_f, items_f, P.WR_RANK), users_f, items_f, P.WR_RANK, P.TOP_N)
+
+
+def q_als_wr_certificate(spark, sf):
+    # The library solves users last: their factors must solve their own normal equations.
+    users, items = model_factors(_builtin_model(spark, sf))
+    observed = ax.weighted(ratings_b(spark, sf))
+    return ax.check_factors(observed, items, users, "item_id", "user_id", P.WR_RANK, P.WR_LAMBDA, "count")
+
+
+def q_top_n_certificate(spark, sf):
+    users, items = model_factors(_builtin_model(spark, sf))
+    top = top_n_exact(spark, users, items, P.WR_RANK, P.TOP_N)
+    return check_top_n(spark, top, users, items, P.WR_RANK, P.TOP_N)
+
+
+def q_publish_recs_certificate(spark, sf):
+    users, items = model_factors(_builtin_model(spark, sf))
+    store = _publish_all(spark, users, items)
+    lists = published_rows(store.read_wide("t_users", ["recMovies"]), users, items, P.WR_RANK)
+    return check_top_n(spark, lists, users, items, P.WR_RANK, P.TOP_N)
+
+
+def _publish_all(spark, users, items) -> KeyedStore:
+    # Score every user against every item exactly (no pair rows), and
+    # upsert one string per user.
+    top = top_n_exact(spark, users, items, P.WR_RANK, P.TOP_N)
+    store = _store(spark)
+    store.put_columns("t_users", publish_strings(top), "user_id", {"recMovies": "rec_movies"})
+    return store
+
+
 def _builtin_model(spark, sf):
     rb = ratings_b(spark, sf)
     return fit_als(spark, rb, P.WR_RANK, P.WR_ITER, P.WR_LAMBDA)
 
 
 def q_publish_recs(spark, sf):
-    # Fit the library model, score every user against every item exactly
-    # (no pair rows), and upsert one string per user.
     users, items = model_factors(_builtin_model(spark, sf))
-    top = top_n_exact(spark, users, items, P.WR_RANK, P.TOP_N)
-    store = _store(spark)
-    store.put_columns("t_users", publish_strings(top), "user_id", {"recMovies": "rec_movies"})
-    return store.read_wide("t_users", ["recMovies"]).select(
+    return _publish_all(spark, users, items).read_wide("t_users", ["recMovies"]).select(
         "rowkey", F.col("recMovies").alias("rec_movies")
     )
 
@@ -445,8 +529,8 @@ def q_top_n(spark, sf):
 
 # -- D, G: aggregations and sets -------------------------------------------------
 def q_rating_profile(spark, sf):
-    train, test = _train_test(spark, sf)
-    return rating_profile(train, test)
+    ratings = ratings_b(spark, sf).select("user_id", "item_id")
+    return rating_profile(tag_split(ratings, P.SPLIT_TEST_MOD, P.SPLIT_COLD_MOD))
 
 
 def q_entity_lists(spark, sf):
@@ -466,6 +550,9 @@ QUERIES: dict[str, Query] = {
     "scan_check": q_scan_check,
     "train_test_split": q_train_test_split,
     "ratings_typed": q_ratings_typed,
+    "rating_cells_typed": q_rating_cells_typed,
+    "load_train_test": q_load_train_test,
+    "load_rejects": q_load_rejects,
     "kv_upsert": q_kv_upsert,
     "ratings_by_time": q_ratings_by_time,
     "store_keys": q_store_keys,
@@ -474,6 +561,7 @@ QUERIES: dict[str, Query] = {
     "replay_batches": q_replay_batches,
     "publish_recs": q_publish_recs,
     "publish_recs_exact": q_publish_recs_exact,
+    "publish_recs_certificate": q_publish_recs_certificate,
     # B
     "to_tsv": q_to_tsv,
     "known_pairs": q_known_pairs,
@@ -493,6 +581,7 @@ QUERIES: dict[str, Query] = {
     "rmse_test": q_rmse_test,
     # F
     "top_n": q_top_n,
+    "top_n_certificate": q_top_n_certificate,
     # G
     "history_union": q_history_union,
     "entity_lists": q_entity_lists,
@@ -501,8 +590,12 @@ QUERIES: dict[str, Query] = {
     "stream_refresh": q_stream_refresh,
     "stream_refresh_exact": q_stream_refresh_exact,
     "stream_round_log": q_stream_round_log,
+    "stream_refresh_every2": q_stream_refresh_every2,
+    "stream_unknown_users": q_stream_unknown_users,
+    "stream_refresh_certificate": q_stream_refresh_certificate,
     # J
     "als_wr": q_als_wr,
+    "als_wr_certificate": q_als_wr_certificate,
     "als_exact": q_als_exact,
     "als_count_weighted": q_als_count_weighted,
     "factor_init": q_factor_init,

@@ -188,15 +188,16 @@ def _users_last_item() -> str:
     )
 
 
-def _stream_refresh_exact() -> str:
-    slots, e = P.REFRESH_SLOTS, P.EXACT_EPOCHS
+def _stream_refresh_exact(slots: int = P.REFRESH_SLOTS, every: int = 1) -> str:
+    """Refits after every ``every``-th slot publish the users of the slots since the last."""
+    e = P.EXACT_EPOCHS
     ctes = [
         f"rb AS ({RB})",
         f"rs0 AS ({RS}), b AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM rs0)",
         f"rs AS (SELECT user_id, item_id, rating, {_slot(slots)} AS slot FROM rs0, b)",
     ]
     pubs = []
-    for k in range(slots):
+    for k in range(every - 1, slots, every):
         p = f"s{k}_"
         ctes.append(
             f"{p}train AS (SELECT user_id, item_id, rating FROM rb"
@@ -208,7 +209,7 @@ def _stream_refresh_exact() -> str:
             " u.f0 * v.f0 + u.f1 * v.f1 AS score, row_number() OVER (PARTITION BY u.id"
             " ORDER BY round(u.f0 * v.f0 + u.f1 * v.f1, 6) DESC, v.id) AS rank"
             f" FROM {p}u{e} u CROSS JOIN {p}i{e} v"
-            f" WHERE u.id IN (SELECT user_id FROM rs WHERE slot = {k}))"
+            f" WHERE u.id IN (SELECT user_id FROM rs WHERE slot BETWEEN {k - every + 1} AND {k}))"
             f" WHERE rank <= {P.TOP_N})"
         )
         pubs.append(
@@ -224,6 +225,26 @@ def _stream_refresh_exact() -> str:
     )
 
 
+def _stream_unknown_users() -> str:
+    """With a refit after every second slot: no model in slot 0, after that that of the last odd slot."""
+    return (
+        f"WITH rb AS ({RB}), rs0 AS ({RS}), b AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM rs0),\n"
+        f"rs AS (SELECT user_id, {_slot(P.REPLAY_SLOTS)} AS slot FROM rs0, b),\n"
+        f"first AS (SELECT user_id, min(slot) AS slot FROM (SELECT user_id, slot FROM rs UNION ALL SELECT user_id, -1 FROM rb WHERE NOT {_is_test()}) GROUP BY user_id)\n"
+        "SELECT CAST(r.slot AS BIGINT) AS round, r.user_id, f.slot <= (r.slot + 1) // 2 * 2 - 1 AND r.slot >= 1 AS in_model\n"
+        "FROM (SELECT DISTINCT user_id, slot FROM rs) r JOIN first f USING (user_id)"
+    )
+
+
+def _optimal(users: str) -> str:
+    """Every user's list is as long as it can be, in order and optimal."""
+    return (
+        f"WITH rb AS ({RB}), rs0 AS ({RS})\n"
+        f"SELECT DISTINCT user_id, CAST(least({P.TOP_N}, (SELECT count(DISTINCT item_id) FROM {{items}})) AS INT) AS n_items,"
+        f" TRUE AS ordered, TRUE AS optimal FROM {users}"
+    )
+
+
 ORACLE: dict[str, str] = {
     # A
     "scan_items": "SELECT CAST(p_partkey AS VARCHAR) AS movie_id, p_name AS name,"
@@ -237,6 +258,14 @@ ORACLE: dict[str, str] = {
     "train_test_split": f"WITH rb AS ({RB}) SELECT user_id, item_id, rating, ts,"
     f" CASE WHEN {_is_test()} THEN 'test' ELSE 'train' END AS split FROM rb",
     "ratings_typed": f"SELECT user_id, item_id, rating FROM ({RB})",
+    "rating_cells_typed": f"WITH rb AS ({RB}), r AS (SELECT *, row_number() OVER (PARTITION BY ts"
+    " ORDER BY user_id DESC, item_id DESC, rating DESC) AS rn FROM rb)"
+    f" SELECT {TS_TEXT.format(c='ts')} AS rowkey, user_id, item_id, rating FROM r WHERE rn = 1",
+    "load_train_test": f"WITH rb AS ({RB}) SELECT user_id, item_id, rating,"
+    f" CASE WHEN {_is_test()} THEN 'test' ELSE 'train' END AS split FROM rb",
+    "load_rejects": f"SELECT 'test' AS file, event_type AS first, CAST(item_id AS VARCHAR) AS second,"
+    f" CAST(rating AS VARCHAR) AS third FROM ({RS})"
+    " UNION ALL SELECT 'items', CAST(p_partkey AS VARCHAR), NULL, CAST(p_retailprice AS VARCHAR) FROM part",
     "kv_upsert": _users_last_item()
     + "SELECT CAST(coalesce(k.user_id, l.user_id) AS VARCHAR) AS rowkey,"
     " CAST(k.user_id AS VARCHAR) AS uid, CAST(l.item_id AS VARCHAR) AS last_item"
@@ -314,6 +343,16 @@ ORACLE: dict[str, str] = {
     "stream_history": f"SELECT user_id, item_id, rating FROM ({RB})"
     f" UNION ALL SELECT user_id, item_id, rating FROM ({RS})",
     "stream_refresh_exact": _stream_refresh_exact(),
+    "stream_refresh_every2": _stream_refresh_exact(P.REPLAY_SLOTS, 2),
+    "stream_unknown_users": _stream_unknown_users(),
+    "stream_refresh_certificate": _optimal(
+        f"(SELECT user_id, {_slot(P.REFRESH_SLOTS)} AS slot FROM rs0,"
+        " (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM rs0))"
+        f" WHERE slot = {P.REFRESH_SLOTS - 1}"
+    ).format(items="(SELECT item_id FROM rb UNION ALL SELECT item_id FROM rs0)"),
+    "als_wr_certificate": f"SELECT user_id AS id, count(*) AS n, TRUE AS solved FROM ({RB}) GROUP BY user_id",
+    "top_n_certificate": _optimal("rb").format(items="rb"),
+    "publish_recs_certificate": _optimal("rb").format(items="rb"),
     "stream_round_log": f"WITH s AS ({_slotted(P.REPLAY_SLOTS)})"
     " SELECT slot, count(*) AS rows, count(DISTINCT user_id) AS users FROM s GROUP BY slot",
     # J

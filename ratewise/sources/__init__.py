@@ -7,6 +7,7 @@ from ratewise.sources.tables import (
 )
 from ratewise.sources.text import (
     check_ratings_file,
+    item_rejects,
     load_train_test,
     parse_stream_lines,
     rating_rejects,
@@ -14,12 +15,14 @@ from ratewise.sources.text import (
     read_ratings_file,
     stream_rejects,
     to_tsv,
+    train_test_rejects,
     typed_ratings,
     write_csv,
 )
 
 __all__ = [
     "check_ratings_file",
+    "item_rejects",
     "items_table",
     "load_train_test",
     "load_table",
@@ -31,6 +34,7 @@ __all__ = [
     "read_ratings_file",
     "stream_rejects",
     "to_tsv",
+    "train_test_rejects",
     "typed_ratings",
     "users_table",
     "write_csv",

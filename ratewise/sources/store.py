@@ -110,22 +110,45 @@ class KeyedStore:
         kept = base.join(newest.select(*CELL_KEY), CELL_KEY, "left_anti")
         return kept.unionByName(newest)
 
+    def _stacked(self, table: str) -> DataFrame | None:
+        """All cells of the newest base and the deltas after it, with their batch number."""
+        layers = self._layers(table)
+        bases = [n for n, k in layers if k == "base"]
+        first = bases[-1] if bases else -1
+        out = None
+        for n, kind in layers:
+            if n == first if kind == "base" else n > first:
+                layer = self._read(self._path(table, kind, n)).withColumn("_n", F.lit(n))
+                out = layer if out is None else out.unionByName(layer)
+        return out
+
     def read_wide(
         self, table: str, qualifiers: Sequence[str], family: str = "msg"
     ) -> DataFrame:
-        """One row per key with one string column per qualifier."""
-        cells = self.read_cells(table).where(F.col("family") == family)
-        cells = cells.where(F.col("qualifier").isin(list(qualifiers)))
+        """One row per key with one string column per qualifier.
+
+        Layers are merged and turned to rows in one aggregation by row key: of
+        each cell the value of the newest layer, summed map-side first.
+        """
+        cells = self._stacked(table)
+        if cells is None:
+            cells = self.spark.createDataFrame([], CELL).withColumn("_n", F.lit(0))
+        cells = cells.where((F.col("family") == family) & F.col("qualifier").isin(list(qualifiers)))
         return cells.groupBy("rowkey").agg(
             *[
-                F.max(F.when(F.col("qualifier") == q, F.col("value"))).alias(q)
+                F.max_by("value", F.when(F.col("qualifier") == q, F.col("_n"))).alias(q)
                 for q in qualifiers
             ]
         )
 
     def keys(self, table: str) -> DataFrame:
-        """Row-key scan: keys with at least one non-empty cell."""
-        cells = self.read_cells(table)
+        """Row-key scan: keys with at least one non-empty cell.
+
+        Puts replace values by values, so a key of any layer still has one.
+        """
+        cells = self._stacked(table)
+        if cells is None:
+            cells = self.spark.createDataFrame([], CELL)
         return cells.where(F.col("value").isNotNull()).select("rowkey").distinct()
 
     # -- writes ------------------------------------------------------------
@@ -226,3 +249,53 @@ class KeyedStore:
             key_col.alias("rowkey"), *named_order, F.inline(pairs)
         ).withColumn("family", F.lit(family))
         return self.put(table, stacked, [f"_o{i}" for i in range(len(order_cols))])
+
+
+#: Cells of a stored rating.
+RATING_CELLS = {"userId": "user_id", "movieId": "item_id", "rating": "rating"}
+
+
+def put_ratings(store: KeyedStore, table: str, ratings: DataFrame, key: Column, order: Sequence[str | Column] = ()) -> int:
+    """Put (user_id, item_id, rating) rows as ``userId``, ``movieId``, ``rating`` cells."""
+    return store.put_columns(table, ratings, key, dict(RATING_CELLS), order=order)
+
+
+def put_all_ratings(store: KeyedStore, table: str, ratings: DataFrame) -> int:
+    """Put every rating: the row key is the whole observation, equal ones are counted.
+
+    ``ratings`` has (user_id, item_id, rating, ts). A key by time alone keeps
+    one rating a moment; here none is lost.
+    """
+    seen = ratings.groupBy("user_id", "item_id", "rating", "ts").agg(F.count(F.lit(1)).alias("copies"))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "item_id", "rating", "ts")]
+    return store.put_columns(table, seen, F.concat_ws("|", *parts), {**RATING_CELLS, "copies": "copies"})
+
+
+def _typed_cells(store: KeyedStore, table: str) -> DataFrame:
+    wide = store.read_wide(table, [*RATING_CELLS, "copies"])
+    return wide.withColumns({
+        "user_id": F.col("userId").try_cast("int"),
+        "item_id": F.col("movieId").try_cast("int"),
+        "value": F.col("rating").try_cast("double"),
+        "copies": F.coalesce(F.col("copies").try_cast("int"), F.lit(1)),
+    })
+
+
+def _typed_ok() -> Column:
+    return F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("value").isNotNull()
+
+
+def typed_rating_cells(store: KeyedStore, table: str) -> DataFrame:
+    """(rowkey, user_id int, item_id int, rating double) from the rating cells of a table.
+
+    A rating with a ``copies`` cell gives so many rows. Rows whose cells are
+    missing or do not parse are left out (see ``rating_cell_rejects``).
+    """
+    rows = _typed_cells(store, table).where(_typed_ok() & (F.col("copies") > 0))
+    return rows.select("rowkey", "user_id", "item_id", F.col("value").alias("rating"),
+                       F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+
+
+def rating_cell_rejects(store: KeyedStore, table: str) -> DataFrame:
+    """(rowkey, userId, movieId, rating) of rows that are no typed rating."""
+    return _typed_cells(store, table).where(~_typed_ok()).select("rowkey", *RATING_CELLS)

@@ -48,12 +48,22 @@ def read_items_file(spark: SparkSession, path: str, header: bool = False) -> Dat
     """Item file scan: (movie_id, name, price) as strings.
 
     Only id and name are required; a line without a price is kept with a
-    null price, and fields past the third are ignored.
+    null price, and fields past the third are ignored. Lines without an id or a
+    name are in ``item_rejects``.
     """
     df = _read_csv(spark, path, ITEM_FILE, header)
-    return df.where(F.col("movie_id").isNotNull() & F.col("name").isNotNull()).select(
-        "movie_id", "name", "price"
-    )
+    return df.where(_item_line_ok()).select("movie_id", "name", "price")
+
+
+def _item_line_ok() -> Column:
+    return F.col("movie_id").isNotNull() & F.col("name").isNotNull()
+
+
+def item_rejects(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
+    """Lines of an item file without id or name: their fields, and the line
+    itself where its number of fields is not three."""
+    df = _read_csv(spark, path, ITEM_FILE, header)
+    return df.where(~_item_line_ok()).select("movie_id", "name", "price", F.col(CORRUPT_COL).alias("line"))
 
 
 def read_ratings_file(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
@@ -61,20 +71,21 @@ def read_ratings_file(spark: SparkSession, path: str, header: bool = False) -> D
     return _read_csv(spark, path, RATING_FILE, header)
 
 
-def _rating_line_ok(columns=(CORRUPT_COL,)) -> Column:
-    ok = (
+def _rating_line_ok() -> Column:
+    """The one rule for rating lines: user, movie and rating parse; a line may
+    have no time, or further fields."""
+    return (
         F.col("user").try_cast("int").isNotNull()
         & F.col("movie").try_cast("int").isNotNull()
         & F.col("rating").try_cast("double").isNotNull()
-        & F.col("time").isNotNull()
     )
-    if CORRUPT_COL in columns:
-        ok = ok & F.col(CORRUPT_COL).isNull()
-    return ok
 
 
 def check_ratings_file(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
-    """Parse dry run: split every line, keep nothing, count good and bad lines."""
+    """Parse dry run: split every line, keep nothing, count good and bad lines.
+
+    A line is good if the loaders take it.
+    """
     raw = read_ratings_file(spark, path, header)
     ok = _rating_line_ok()
     return raw.agg(
@@ -86,7 +97,7 @@ def check_ratings_file(spark: SparkSession, path: str, header: bool = False) ->
 
 def typed_ratings(raw: DataFrame) -> DataFrame:
     """Cast the string layer to (user_id int, item_id int, rating double, time)."""
-    return raw.where(_rating_line_ok(raw.columns)).select(
+    return raw.where(_rating_line_ok()).select(
         F.col("user").cast("int").alias("user_id"),
         F.col("movie").cast("int").alias("item_id"),
         F.col("rating").cast("double").alias("rating"),
@@ -101,23 +112,31 @@ def load_train_test(
     (user_id, item_id, rating) each.
 
     Only the first three fields count: a line may have no time, or further
-    fields. Lines without a valid user, item or rating give no row.
+    fields. Lines without a valid user, item or rating give no row and are in
+    ``train_test_rejects``.
     """
 
     def load(path: str) -> DataFrame:
-        raw = read_ratings_file(spark, path, header).select(
-            F.col("user").try_cast("int").alias("user_id"),
-            F.col("movie").try_cast("int").alias("item_id"),
-            F.col("rating").try_cast("double").alias("rating"),
-        )
-        return raw.dropna()
+        return typed_ratings(read_ratings_file(spark, path, header)).select("user_id", "item_id", "rating")
 
     return load(train_path), load(test_path)
 
 
+def train_test_rejects(
+    spark: SparkSession, train_path: str, test_path: str, header: bool = False
+) -> DataFrame:
+    """(split, user, movie, rating, time) of the lines that ``load_train_test`` does not take."""
+    frames = [
+        rating_rejects(read_ratings_file(spark, path, header)).select(
+            F.lit(split).alias("split"), "user", "movie", "rating", "time")
+        for split, path in (("train", train_path), ("test", test_path))
+    ]
+    return frames[0].unionByName(frames[1])
+
+
 def rating_rejects(raw: DataFrame) -> DataFrame:
     """Lines of a rating file that do not give a typed rating."""
-    return raw.where(~_rating_line_ok(raw.columns))
+    return raw.where(~_rating_line_ok())
 
 
 def tsv_record() -> Column:

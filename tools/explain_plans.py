@@ -66,9 +66,9 @@ def main() -> None:
     users1 = ax.half_step(train, items0, "item_id", "user_id", rank, 0.1)
     plans = {
         "rating_profile (scan of lineitem x orders, split, counts)": C.q_rating_profile(spark, sf),
-        "half step, Catalyst sums, rank 5 (broadcast lookup, partial aggregation, batched solve)":
+        "half step, Catalyst sums, rank 5 (lookup by exact size, partial aggregation, batched solve)":
             users1,
-        "exact top 10 for every user (item matrix shipped under the size bound)":
+        "exact top 10 for every user (grid of user and item blocks)":
             top_n_exact(spark, users1, items0, rank, 10),
         "keyed upsert: wide read after two put rounds": C.q_kv_upsert(spark, sf),
         "events scan for the stream input (column pruning)": C.ratings_s(spark, sf).select(
