@@ -29,8 +29,6 @@ from ratewise.llm.common import BROADCAST_ROWS, free_name, table, written
 
 RATIO = 0.01
 REPEATS = 3
-#: The floor in OP5_SQL, which the query op5_line_dedup has to match.
-MIN_PAGES = 10
 SALTS = 64
 _SPACE = " \t\r\f\x0b"
 
@@ -89,22 +87,23 @@ def dedup_lines(docs: DataFrame, host: str = "source", ratio: float = RATIO,
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its lines after site-relative line dedup, by the floor of OP5_SQL."""
+    """Every document with its lines after site-relative line dedup."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return dedup_lines(docs, min_pages=MIN_PAGES).select(
+    return dedup_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.coalesce("text", F.lit("")).alias("kept_text"))
 
 
 OP5_SQL = f"""
-WITH lines AS (
-  SELECT doc_id, coalesce(source, '') AS host, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source AS host, text FROM documents),
+lines AS (
+  SELECT r, doc_id, host, text IS NOT NULL AS has_text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM docs),
 keyed AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) AS k FROM lines),
-totals AS (SELECT coalesce(source, '') AS host, count(*) AS total FROM documents GROUP BY 1),
+totals AS (SELECT host, count(*) AS total FROM docs GROUP BY host),
 bad AS (
-  SELECT c.host, c.k FROM (SELECT host, k, count(DISTINCT doc_id) AS pages FROM keyed WHERE k <> '' GROUP BY 1, 2) c
-  JOIN totals t USING (host) WHERE c.pages >= {MIN_PAGES} AND c.pages > {RATIO} * t.total)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (b.k IS NOT NULL) AS n_dropped,
+  SELECT c.host, c.k FROM (SELECT host, k, count(DISTINCT r) AS pages FROM keyed WHERE k <> '' GROUP BY 1, 2) c
+  JOIN totals t ON c.host IS NOT DISTINCT FROM t.host WHERE c.pages >= {REPEATS} AND c.pages > {RATIO} * t.total)
+SELECT doc_id, count(*) FILTER (has_text) AS n_lines, count(*) FILTER (b.k IS NOT NULL) AS n_dropped,
   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (b.k IS NULL), '') AS kept_text
-FROM keyed LEFT JOIN bad b USING (host, k) GROUP BY doc_id
+FROM keyed LEFT JOIN bad b ON keyed.host IS NOT DISTINCT FROM b.host AND keyed.k = b.k GROUP BY r, doc_id
 """

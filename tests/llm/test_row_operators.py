@@ -131,3 +131,16 @@ def test_line_dedup_ratio_alone_decides(spark):
     # The same share on ten times as many pages decides alike.
     many = spark.createDataFrame([(i, f"mine {i}\nfooter", "small") for i in range(60)], df.schema)
     assert {r["text"] for r in corpus_pipeline.drop_lines(spark, many, "").collect()} == {f"mine {i}" for i in range(60)}
+
+
+def test_line_dedup_query_goes_by_the_ratio_alone(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, "h9", f"all nine\nown {i}") for i in range(9)] + [(9, None, f"null host\n{i}") for i in range(3)]
+    rows += [(10 + i, "", "empty host\nx") for i in range(2)] + [(20, "h9", None), (21, "h9", "")]
+    spark.createDataFrame(rows, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((tuple(r) for r in lines.op5_line_dedup(spark, str(tmp_path)).collect()), key=str)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(con.execute(lines.OP5_SQL).fetchall(), key=str)
+    assert sum(r[2] for r in got) == 9 + 3 and (20, 0, 0, "") in got
