@@ -131,6 +131,15 @@ def test_pii_base_and_discovery(spark):
     assert new == {(600 + i, f"020 7946 0{i}18") for i in range(3)}
 
 
+def test_pii_long_runs_of_digits(spark):
+    """A part of any length is no ip part; leading zeros do not make it one either."""
+    texts = ["x " + "1" * 45 + ".1.2.3", "0" * 60 + "7.1.2.003", "9" * 4000 + ".1.2.3 1.2.3.4", "1.2.3.4444", "256.1.1.1 255.0.0.000000"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in pii.find_pii(df).collect():
+        got = [(pii.KINDS[x["k"] - 1], x["start"], x["end"]) for x in r["spans"] if x["base"]]
+        assert got == plain_spans(texts[r["doc_id"]])
+
+
 def test_pii_edges(spark, docs):
     assert pii.find_pii(docs).count() == docs.count()
     assert pii.find_pii(docs.limit(0)).count() == 0
