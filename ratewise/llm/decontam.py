@@ -11,8 +11,8 @@
 3. Randomised SVD: with A the matrix, tasks sum up A'(A W) for a random W; its
    orthonormal basis Q goes out again for A'(A Q), and the eigenvectors of
    Q'A'AQ turn Q into the ``RANK`` leading latent directions. A task sends
-   one matrix of features x rank; sums go through about the square root of
-   the number of tasks before they reach the driver.
+   one matrix of features x rank; sums go through levels of about the square
+   root of the number of tasks until ``DRIVER_SUMS`` of them reach the driver.
 4. Windows of ``PASSAGE`` words, every half passage, are projected; windows
    and items whose cosine is at least ``COSINE`` are candidates. A candidate's
    surroundings are compared with the item by longest common subsequence of
@@ -30,9 +30,11 @@ the id; an empty benchmark or corpus gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +45,15 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import lean, ship_package, table, written
 
 PASSAGE = 64
-MAX_DF, RAREST = 0.005, 8
-RANK, OVERSAMPLE, SEED = 64, 8, 3
-COSINE, COPIED, PARAPHRASED, ANSWER = 0.45, 0.7, 0.5, 0.8
-BLOCK_ITEMS = 1000
-CHUNK_ENTRIES = 20_000
-CHUNK_WINDOWS = 2048
+MAX_DF, RAREST = 0.01, 8
+RANK, OVERSAMPLE, SEED = 128, 8, 3
+COSINE, COPIED, PARAPHRASED, ANSWER = 0.30, 0.7, 0.5, 0.8
+BLOCK_ITEMS = 4000
+CHUNK_ENTRIES = 10_000
+#: Windows of a chunk, and cosines of one at most.
+CHUNK_WINDOWS, CHUNK_COSINES = 2048, 2_000_000
+#: Matrices that reach the driver at once at most.
+DRIVER_SUMS = 8
 _WORDS = re.compile(r"\w+").findall
 
 
@@ -85,6 +90,7 @@ class Space:
     idf: np.ndarray
     vectors: np.ndarray | None = None  # feature -> latent row (idf inside)
     items: np.ndarray | None = None  # unit latent rows
+    cosine: float = COSINE
 
 
 def _rows(space: Space, ids: np.ndarray, passage: np.ndarray):
@@ -161,12 +167,15 @@ def _corpus_product(seqs: DataFrame, space: Space, w: np.ndarray) -> tuple[np.nd
             yield pa.RecordBatch.from_arrays([pa.array([rows], pa.int64()), pa.array([out.tobytes()], pa.binary())], ["n", "blob"])
 
     schema = "n bigint, blob binary"
-    some = max(1, int(seqs.rdd.getNumPartitions() ** 0.5))
-    got = seqs.mapInArrow(lean(run), schema).repartition(some).mapInArrow(_sum_blobs, schema).collect()
+    got, parts = seqs.mapInArrow(lean(run), schema), seqs.rdd.getNumPartitions()
+    while parts > DRIVER_SUMS:  # sums of sums, until few reach the driver
+        parts = max(DRIVER_SUMS, math.ceil(parts ** 0.5))
+        got = got.repartition(parts).mapInArrow(_sum_blobs, schema)
+    got = got.collect()
     total = np.zeros(w.shape)
     for r in got:
         total += np.frombuffer(bytes(r["blob"]), np.float32).reshape(w.shape)
-    shared.unpersist()
+    shared.destroy()
     return total, sum(r["n"] for r in got)
 
 
@@ -183,9 +192,12 @@ def _block(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 b = batch.slice(at, 256)
-                rows = [[get(w, -1) for w in words(t)] for t in b.column(1).to_pylist()]
-                n = np.array([len(r) for r in rows])
-                flat = np.fromiter((x for r in rows for x in r), np.int64, int(n.sum()))
+                flat, n = [], []
+                for t in b.column(1).to_pylist():
+                    at_first = len(flat)
+                    flat.extend(map(get, words(t), repeat(-1)))
+                    n.append(len(flat) - at_first)
+                flat, n = np.array(flat, np.int64), np.array(n)
                 p = _passages(n)
                 live = flat >= 0
                 df += np.bincount(np.unique(p[live] * len(df) + flat[live]) % len(df), minlength=len(df))
@@ -197,6 +209,7 @@ def _block(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32())), pa.array([[*df, passages]], pa.list_(pa.int64()))], ["doc_id", "seq", "df"])
 
     stored = written(docs.mapInArrow(lean(encode), "doc_id bigint, seq array<int>, df array<bigint>"), "leak-sequences")
+    known.destroy()
     seqs = stored.where("seq IS NOT NULL").select("doc_id", "seq")
     counts = stored.where("df IS NOT NULL").select(F.posexplode("df").alias("w", "c")).groupBy("w").agg(F.sum("c").alias("c"))
     count = np.zeros(len(vocab) + 1)
@@ -209,7 +222,7 @@ def _block(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         u = np.unique(s)
         keep[u[np.argsort(df[u], kind="stable")[:RAREST]]] = True
     feature = np.where(keep, np.cumsum(keep) - 1, -1)
-    space = Space(feature, np.log((1 + passages) / (1 + df[keep])) + 1)
+    space = Space(feature, np.log((1 + passages) / (1 + df[keep])) + 1, cosine=COSINE)
     flat, owner = np.concatenate(seq), np.repeat(np.arange(len(seq)), [len(s) for s in seq])
     rank = min(RANK + OVERSAMPLE, int(keep.sum()))
 
@@ -252,7 +265,9 @@ def _block(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
                         [doc_ids.take(pa.array(doc)), pa.array([item_ids[i] for i in item], pa.int64()), pa.array(cosine, pa.float64()),
                          pa.array(ratio, pa.float64()), pa.array(answer, pa.float64())], ["doc_id", "item_id", "cosine", "lcs", "answer"])
 
-    return seqs.mapInArrow(lean(search), "doc_id bigint, item_id bigint, cosine double, lcs double, answer double")
+    found = written(seqs.mapInArrow(lean(search), "doc_id bigint, item_id bigint, cosine double, lcs double, answer double"), "leaks")
+    shared.destroy()
+    return found
 
 
 def _candidates(space: Space, ids: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
@@ -268,15 +283,22 @@ def _candidates(space: Space, ids: np.ndarray, n: np.ndarray) -> Iterator[tuple[
     at = np.flatnonzero((ids >= 0) & (f >= 0))
     f = f[at]
     a, b = np.searchsorted(at, lo), np.searchsorted(at, hi)
-    some = np.flatnonzero(b - a >= 2)
-    for i in range(0, len(some), CHUNK_WINDOWS):
-        part = some[i:i + CHUNK_WINDOWS]
-        base = a[part[0]]
-        sums = np.concatenate([np.zeros((1, space.vectors.shape[1])), np.cumsum(space.vectors[f[base:b[part].max()]], axis=0, dtype=np.float64)])
-        x = (sums[b[part] - base] - sums[a[part] - base]).astype(np.float32)
+    mid = np.minimum(np.searchsorted(at, lo + step), b)
+    some = np.flatnonzero(b > a)
+    size = max(1, min(CHUNK_WINDOWS, CHUNK_COSINES // max(1, len(space.items))))
+    for i in range(0, len(some), size):
+        part = some[i:i + size]
+        # A window is two half passages; each is summed once for the two windows that have it.
+        edges = np.unique(np.concatenate([a[part], mid[part], b[part]]))
+        rows = space.vectors[f[edges[0]:edges[-1]]]
+        halves = np.add.reduceat(rows, edges[:-1] - edges[0])
+        place = lambda e: np.searchsorted(edges, e)
+        first, second, last = place(a[part]), place(mid[part]), place(b[part])
+        x = np.where((second > first)[:, None], halves[np.minimum(first, len(halves) - 1)], 0)
+        x += np.where((last > second)[:, None], halves[np.minimum(second, len(halves) - 1)], 0)
         sims = x @ space.items.T
         sims /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-        for w, item in zip(*np.nonzero(sims >= COSINE), strict=True):
+        for w, item in zip(*np.nonzero(sims >= space.cosine), strict=True):
             yield int(doc[part[w]]), int(begin[part[w]]), float(sims[w, item]), int(item)
 
 
@@ -288,16 +310,24 @@ def _compared(item: list[int], answer: list[int], text: np.ndarray, begin: int):
     if sum(x in there for x in item) < PARAPHRASED * size:
         return None
     length, step = -(-13 * size // 10), max(1, size // 4)
-    best, where = 0, 0
+    mine = set(item)
+    before = [0, *accumulate(x in mine for x in near)]  # words of the item up to each place
+    best = 0
+    found: tuple[float, float] | None = None
     for i in range(0, max(1, len(near) - length + step), step):
+        # A subsequence is no longer than the words of the item in the stretch.
+        here = before[min(i + length, len(near))] - before[min(i, len(near))]
+        if here < PARAPHRASED * size or here < best and here < COPIED * size and found:
+            continue
         got = lcs(item, near[i:i + length])
-        if got > best:
-            best, where = got, i
-    ratio = best / size
-    if ratio < PARAPHRASED:
-        return None
-    found = lcs(answer, near[where:where + length]) / len(answer) if answer else 0.0
-    return (ratio, found) if ratio >= COPIED or found >= ANSWER else None
+        best = max(best, got)
+        if got < PARAPHRASED * size:
+            continue
+        # Each stretch that is near enough is asked for the answer, not only the nearest.
+        share = got / size, lcs(answer, near[i:i + length]) / len(answer) if answer else 0.0
+        if (share[0] >= COPIED or share[1] >= ANSWER) and (found is None or share > found):
+            found = share
+    return found
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -314,7 +344,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         got = block.orderBy("item_id").limit(BLOCK_ITEMS).collect()
         items = [(r["item_id"], t) for r in got for t in sorted(r["texts"]) if words(t)]
         if items:
-            found = written(_block(docs, items), "leaks")
+            found = _block(docs, items)
             out = found if out is None else out.union(found)
         if len(got) < BLOCK_ITEMS:
             break
