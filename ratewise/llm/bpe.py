@@ -34,11 +34,11 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import free_name, lean, ship_package, table
+from ratewise.llm.common import free_name, lean, remembers, ship_package, table
 
 LEAF_BYTES = 4
 DECODE_LEAF = 1024
-MAX_REMEMBERED = 500_000
+MAX_REMEMBERED = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -177,6 +177,7 @@ class TreeCodec:
 
 
 _CODECS: dict[tuple[str, str], TreeCodec] = {}
+remembers("bpe", _CODECS.clear)
 
 
 def _codec(name: str, pattern: str) -> TreeCodec:
@@ -220,7 +221,7 @@ def _mapped(df: DataFrame, ranks_path: str, pattern: str, col: str, out: str, ar
                     [b.column(b.schema.get_field_index(c)) for c in keep] + [pa.array(values, arrow)], [*keep, out])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != out] + [f"`{out}` {kind}"])
-    return df.mapInArrow(lean(run), schema)
+    return df.mapInArrow(lean(run, "bpe"), schema)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -244,7 +245,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        lean(run), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        lean(run, "bpe"), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,12 +11,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.session import scratch_path, ship_package
+from ratewise.session import scratch_path
+from ratewise.session import ship_package as _ship_package
 
 #: Rows up to which a table of ids or short keys is sent to every task.
 BROADCAST_ROWS = 200_000
 
 
+#: Rows of one Arrow batch: whole texts make ten thousand of them too many bytes at once.
+BATCH_ROWS = 500
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in tasks, and keep Arrow batches of texts small."""
+    _ship_package(spark)
+    if int(spark.conf.get(_BATCH_CONF, "10000")) > BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,14 +54,27 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+#: What an operator remembers from task to task in a Python worker, and how to drop it.
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remembers(owner: str, drop: Callable[[], None]) -> None:
+    """Say how to drop what ``owner`` keeps in this worker between its tasks."""
+    _REMEMBERED[owner] = drop
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str = ""):
     """A task function that gives its memory back to the system when it ends.
 
     Python workers are reused: what one stage freed but kept would stay in the
-    executor's memory during all later stages.
+    executor's memory during all later stages. What other operators than
+    ``owner`` remember in the worker is dropped before the task begins.
     """
     @functools.wraps(run)
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for other, drop in _REMEMBERED.items():
+            if other != owner:
+                drop()
         try:
             yield from run(batches)
         finally:
@@ -74,5 +100,5 @@ def free_name(base: str, taken: Sequence[str]) -> str:
     return base
 
 
-__all__ = ["BROADCAST_ROWS", "table", "written", "small", "lean", "hash_mod", "free_name",
+__all__ = ["BROADCAST_ROWS", "remembers", "table", "written", "small", "lean", "hash_mod", "free_name",
            "scratch_path", "ship_package"]

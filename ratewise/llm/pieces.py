@@ -39,7 +39,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import free_name, lean, ship_package, table
+from ratewise.llm.common import free_name, lean, remembers, ship_package, table
 
 SPACE = "▁"
 LONG = 1024
@@ -150,11 +150,11 @@ class PieceCodec:
         if len(long):
             stay = ~np.isin(seg, long)
             sym, seg = sym[stay], seg[stay]
+        # The piece of each symbol with its right neighbour; none across a cut.
+        made = np.full(len(sym), -1, np.int64)
+        inner = np.flatnonzero(seg[1:] == seg[:-1])
+        made[inner] = self.pairs(sym[inner], sym[inner + 1])
         while len(sym):
-            # Rank of each symbol with its right neighbour; none across a cut.
-            made = np.full(len(sym), -1, np.int64)
-            inner = np.flatnonzero(seg[1:] == seg[:-1])
-            made[inner] = self.pairs(sym[inner], sym[inner + 1])
             rank = np.where(made >= 0, self.rank[made], NONE)
             start = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
             length = np.diff(np.r_[start, len(sym)])
@@ -174,7 +174,14 @@ class PieceCodec:
                 done_sym.append(sym[~alive])
             sym[hit] = made[hit]
             alive[hit + 1] = False
-            sym, seg = sym[alive], seg[alive]
+            at = (np.cumsum(alive) - 1)[hit]
+            sym, seg, made = sym[alive], seg[alive], made[alive]
+            # Only a merged symbol's own pairs are looked up again.
+            at = np.concatenate([at, at[at > 0] - 1])
+            made[at] = -1
+            at = at[at + 1 < len(sym)]
+            at = at[seg[at] == seg[at + 1]]
+            made[at] = self.pairs(sym[at], sym[at + 1])
         if not done_seg:
             return [()] * len(words)
         seg, sym = np.concatenate(done_seg), np.concatenate(done_sym)
@@ -257,6 +264,7 @@ class PieceCodec:
 
 
 _CODECS: dict[str, PieceCodec] = {}
+remembers("pieces", _CODECS.clear)
 
 
 def _codec(name: str) -> PieceCodec:
@@ -300,7 +308,7 @@ def _mapped(df: DataFrame, model_path: str, col: str, out: str, arrow, kind: str
                     [b.column(b.schema.get_field_index(c)) for c in keep] + [pa.array(many(codec, group), arrow)], [*keep, out])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != out] + [f"`{out}` {kind}"])
-    return df.mapInArrow(lean(run), schema)
+    return df.mapInArrow(lean(run, "pieces"), schema)
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "ids", bos: bool = False, eos: bool = True) -> DataFrame:
@@ -334,7 +342,7 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
                      pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        lean(run), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        lean(run, "pieces"), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -98,8 +98,8 @@ class ConvNet:
 PAD = max(WIDTHS)  # a window on an empty text must not reach the next text
 
 
-def train(texts: list[list[str]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> ConvNet:
-    """Fit the net on tokenised texts and 0/1 labels (balanced by weight)."""
+def train(texts: Iterable[list[str]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> ConvNet:
+    """Fit the net on tokenised texts (read once) and 0/1 labels (balanced by weight)."""
     rng = np.random.default_rng(seed)
     vocab: dict[str, int] = {}
     ids = [np.array([vocab.setdefault(w, len(vocab)) for w in t], np.int64) for t in texts]
@@ -300,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, max_per_class: int = MAX_PER_
     # The sample's rows come in no set order: sort them for repeatable fits.
     rows = sorted(got.collect(), key=lambda r: r["doc_id"])
     fit_rows = [r for r in rows if not r["held"]] or rows
-    net = train([words(r["text"]) for r in fit_rows], np.array([r["y"] for r in fit_rows]))
+    net = train((words(r["text"]) for r in fit_rows), np.array([r["y"] for r in fit_rows]))
     net.out_bias += float(np.log(count[1] / count[0]))  # it was trained as if both classes were as many
     hist = _histogram(docs, y.where("held OR NOT sampled").select("doc_id", "y"), net)
     neg, pos = sum(hist.values(), np.zeros((2, BINS))).sum(1)
