@@ -6,19 +6,19 @@ rows the stage before it kept. Stages 1 to 4 return the columns of documents
 
 Defined results: an empty table stays empty; a null text is an empty one for
 every stage and stays null; extra columns pass through stages 1 to 4 and are
-left out of the last; rows that repeat an id are judged each by the text, but
-near duplicates and leaks are dropped by id, so a dropped id takes all its
-rows along, and of rows that repeat an id and its text one stays; rows with a
-null id are kept by both.
+left out of the last; every row is judged by its own text, whether its id is
+null or repeated: of a group of near duplicates the row of the smallest id stays
+(a null id comes last, then the row's number decides), and a leak takes the rows
+of its text along, no others. Rows without words are no duplicates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.llm import bpe, decontam, jaccard, lines, toxicity
-from ratewise.llm.common import hash_mod, small, table, written
+from ratewise.llm.common import free_name, hash_mod, small, table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,22 +36,32 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.length("text").cast(t).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c, t in docs.dtypes])
 
 
+def _key() -> Column:
+    """A number for each different text; rows of one text are judged alike."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each component of near duplicates."""
-    found = written(jaccard.near_duplicates(docs), "components")
-    out = docs.join(small(found.where("doc_id <> component_id").select("doc_id").distinct()), "doc_id", "left_anti")
-    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if again.limit(1).count():
-        again = small(written(again, "repeated-ids"))
-        once = out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        out = out.join(again, "doc_id", "left_anti").unionByName(once)
+    """One row, that of the smallest id, of each component of near duplicates."""
+    k, no = free_name("_key", docs.columns), free_name("_no", docs.columns)
+    # Rows are told apart by a number that is written, not by their id.
+    rows = written(docs.withColumn(no, F.monotonically_increasing_id()).withColumn(k, _key()), "numbered")
+    found = jaccard.near_duplicates(rows.select(F.col(no).alias("doc_id"), "text"))
+    found = written(found.where("n_shingles > 0").select(F.col("doc_id").alias(no), F.col("component_id").alias("component")), "components")
+    again = found.groupBy("component").agg(F.count("*").alias("c")).where("c > 1").select("component")
+    several = written(found.join(again, "component"), "several").join(rows.select(no, "doc_id"), no)
+    first = several.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", no)).alias("x"))
+    drop = several.join(first, "component").where(F.col(no) != F.col(f"x.{no}")).select(no)
+    out = rows.join(small(written(drop, "near-copies")), no, "left_anti")
     return out.select(*[f"`{c}`" for c in docs.columns])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a leak of a benchmark item."""
-    leaks = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    out = docs.join(small(written(leaks, "leaked-ids")), "doc_id", "left_anti")
+    """Documents whose text holds no leak of a benchmark item."""
+    k = free_name("_key", docs.columns)
+    leaks = decontam.find_leaks(docs.select(_key().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    leaks = written(leaks.select(F.col("doc_id").alias(k)).distinct(), "leaked-texts")
+    out = docs.withColumn(k, _key()).join(small(leaks), k, "left_anti")
     return out.select(*[f"`{c}`" for c in docs.columns])
 
 
