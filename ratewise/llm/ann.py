@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import ship_package, table, written
+from ratewise.llm.common import ship_package, small, table, written
 
 TOP = 10
 FIT_ROWS = 16_384
@@ -54,14 +54,21 @@ def valid(v: Column) -> Column:
 
 
 def entries(rows: DataFrame, keep: int = TOP + 1) -> DataFrame:
-    """(entry, ids, vec): distinct vectors with their ``keep`` smallest ids."""
+    """(entry, ids, vec): distinct vectors with their ``keep`` smallest ids.
+
+    ``entry`` is the smallest id, so that equal distances come in order of ids;
+    where one id is the smallest of several vectors it is a hash of the vector.
+    """
     rows = rows.where(valid(F.col("vec")))
     size = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     rows = rows.where(F.size("vec") == (size[0]["n"] if size else 0))
     by = Window.partitionBy("vec").orderBy("id")
     few = rows.withColumn("r", F.row_number().over(by)).where(F.col("r") <= keep)
-    return few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(
-        F.element_at("ids", 1).alias("entry"), "ids", "vec")
+    found = written(few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")), "ann-distinct")
+    first = F.element_at("ids", 1)
+    shared = found.groupBy(first.alias("first")).count().where("count > 1").select("first", F.lit(True).alias("shared"))
+    return found.withColumn("first", first).join(small(written(shared, "ann-shared-ids")), "first", "left").select(
+        F.when(F.col("shared"), F.xxhash64("vec")).otherwise(F.col("first")).alias("entry"), "ids", "vec")
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = SEED) -> np.ndarray:
@@ -69,7 +76,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = SEED) -> np.
     c = x[rng.choice(len(x), k, replace=False)].copy()
     for _ in range(rounds):
         near = nearest(x, c)
-        total = np.stack([np.bincount(near, x[:, j], k) for j in range(x.shape[1])], 1)
+        total = np.array([np.bincount(near, x[:, j], k) for j in range(x.shape[1])]).reshape(x.shape[1], k).T
         n = np.bincount(near, minlength=k)
         c[n > 0] = total[n > 0] / n[n > 0, None]
     return c
@@ -93,7 +100,7 @@ def walk(d1: np.ndarray, d2: np.ndarray, sizes: np.ndarray, enough: int) -> dict
     """
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
     s1, s2 = d1[o1].tolist(), d2[o2].tolist()
-    grid = sizes[np.ix_(o1, o2)].tolist()
+    grid = [sizes[o1[0]][o2].tolist()]  # a row when its first centroid is reached
     n1, n2 = len(s1), len(s2)
     heap, out, held = [(s1[0] + s2[0], 0, 0)], [[] for _ in s1], 0
     while heap and held < enough:
@@ -108,6 +115,7 @@ def walk(d1: np.ndarray, d2: np.ndarray, sizes: np.ndarray, enough: int) -> dict
             heapq.heappop(heap)
         if not j and i + 1 < n1:
             heapq.heappush(heap, (s1[i + 1] + s2[0], i + 1, 0))
+            grid.append(sizes[o1[i + 1]][o2].tolist())
     return {int(o1[i]): o2[x].tolist() for i, x in enumerate(out) if x}
 
 

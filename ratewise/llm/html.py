@@ -41,7 +41,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 #: Tags whose subtree is never main text.
 CUT = frozenset("script style noscript template iframe textarea title head nav header footer aside form button select "
-                "option input label fieldset svg canvas object embed menu dialog math audio video map".split())
+                "option input label fieldset svg canvas object embed menu dialog audio video map".split())
 BLOCK = frozenset("address article blockquote body center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 "
                   "hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: A tag that opens closes an open tag of the same group (down to the barrier).
@@ -61,7 +61,8 @@ NOISE = frozenset(
     "complementary contentinfo copyright legal disclaimer skip hidden".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+    # A quote opens a value only after an equals sign; elsewhere it is a character like any other.
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))?)*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*))|(?=[\s/]|$))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)

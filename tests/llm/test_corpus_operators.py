@@ -167,6 +167,17 @@ def test_neighbours(spark):
     assert ann.nearest_neighbours(df.limit(0), F.col("id") % 100 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_ids_and_short_vectors(spark):
+    rows = [(100, [0.0, 1.0]), (100, [9.0, 9.0]), (1, [0.0, 2.0]), (2, [9.0, 8.0]), (2, [0.0, 1.5]), (3, [5.0, 5.0])]
+    got = ann.nearest_neighbours(spark.createDataFrame(rows, "id bigint, vec array<double>"), F.col("id") % 100 == 0, top=1)
+    # One list for each of the id's vectors.
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == [(100, 1, 2, 0.5), (100, 1, 2, 1.0)]
+    line = spark.createDataFrame([(i, [float(i + 1)]) for i in range(300)], "id bigint, vec array<double>")
+    near = ann.nearest_neighbours(line, F.col("id") % 100 == 0, top=2).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in near) == [
+        (0, 1, 1), (0, 2, 2), (100, 1, 99), (100, 2, 101), (200, 1, 199), (200, 2, 201)]
+
+
 def test_language_model(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     docs = docs.union(spark.createDataFrame([(10**6, None), (10**6 + 1, "")], docs.schema))

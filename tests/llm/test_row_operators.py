@@ -144,3 +144,14 @@ def test_line_dedup_query_goes_by_the_ratio_alone(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert got == sorted(con.execute(lines.OP5_SQL).fetchall(), key=str)
     assert sum(r[2] for r in got) == 9 + 3 and (20, 0, 0, "") in got
+
+
+@pytest.mark.parametrize("attrs", ["title=it's", "title='a > b'", 'title="it\'s > b"', "it's", "'", 'x = "1"', "title=a=b'c"])
+def test_html_quotes_in_attributes(attrs):
+    page = f"<article><p {attrs}>First part of it.</p><p>Second one, don't stop.</p><p>Third, <math><mi>x</mi></math> too.</p></article>"
+    assert html.main_text(page) == "First part of it.\n\nSecond one, don't stop.\n\nThird, x too."
+
+
+def test_html_unclosed_quotes_and_long_attributes_end():
+    assert html.main_text("<p>one</p><p title=\"never closed>two") == "one"
+    assert html.main_text("<p " + "a='b' c=d' " * 20_000 + ">text</p>") == "text"
