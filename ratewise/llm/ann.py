@@ -5,7 +5,8 @@ its own (k-means in numpy, on a sample of about ``FIT_ROWS`` distinct vectors
 taken by hash). A vector's cell is its pair of centroids, so k centroids a half
 give k * k cells. A query sorts the centroids of either half by distance and
 walks the centroid pairs by summed distance with a heap, until the cells it has
-passed hold a share ``SHARE`` of all entries; all of those are reranked by
+passed hold a share ``SHARE`` of all n entries and ``SPARE`` times the root of
+n more (cells of few entries vary more in size); all of those are reranked by
 their exact distance in double precision. (Vectors that fill all directions
 alike, as the given ones do, need a large share for a recall of 0.9; for
 clustered ones a smaller share does.)
@@ -41,7 +42,7 @@ TOP = 10
 FIT_ROWS = 16_384
 MAX_K = 1024
 ROUNDS, SEED = 12, 5
-SHARE, LEAST = 0.42, 3000
+SHARE, SPARE = 0.42, 3.5
 PART_ROWS = 2048
 TENSOR = 2_000_000
 BLOCK_ROWS = 4096
@@ -133,7 +134,7 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP + 1, share: floa
     n = index.count()
     if not n:
         return spark.createDataFrame([], "query bigint, entry bigint, score double, r int")
-    enough = max(LEAST, int(share * n))
+    enough = max(top, int(share * n + SPARE * n ** 0.5))
     take = F.pmod(F.xxhash64("entry", F.lit(3)), F.lit(1_000_000)) < min(1.0, FIT_ROWS / n) * 1_000_000
     sample = np.array([r["vec"] for r in index.where(take).orderBy("entry").select("vec").collect()], float)
     if not len(sample):

@@ -1,18 +1,31 @@
 """Main-text extraction from HTML by composite text density.
 
 A page is parsed into a light DOM (own scanner: unclosed, misnested and
-truncated markup is accepted). Subtrees that are never main text (scripts,
-styles, forms, navigation, page headers and footers, asides, and elements
-whose class, id or role names a menu, advert, notice, comment list and the
-like) are cut first. Then, for every node,
+truncated markup is accepted). Subtrees that are never main text by their tag
+(scripts, styles, forms, navigation, page headers and footers, asides) or
+hidden are left out. Names (class, id, role) of a menu, advert, notice, comment
+list and the like put an element in doubt:
+
+* strong doubt: a whole name of such words and of words of layout
+  (``comment-list``, ``ad``), or any such role. The subtree goes, unless it is
+  a wrapper: it holds over half of the page's text outside links, with an
+  article, main or h1 element (or, if it does not name comments, paragraphs).
+* weak doubt: such a word beside others (``related-work``), or an ambiguous
+  one as the id of a section or paragraph (``discussion``). The subtree goes
+  only where links or density say so too: at least a third of its text is
+  links, or it has fewer characters a tag than the page.
+
+Names of headings and of text-level tags in weak doubt decide nothing. Then,
+for every node,
 
     density = C/T * log(C/LC' * T/LT') / log(ln(C*LC/(C-LC) + LCb*C/Cb + e))
 
 with C characters, T tags, LC link characters, LT link tags, and the body's LCb
 and Cb (x' is at least 1). The density sum of a node adds the densities of its
 children. The container with the largest sum is the centre of the content (an
-article or main element around it is kept whole, as are headings beside the
-path to it), and the smallest density on the path from it up to body is the threshold: in every
+article or main element around it is kept, but for containers in it that are
+mostly links and below the threshold; so are headings beside the path to it),
+and the smallest density on the path from it up to body is the threshold: in every
 subtree whose density reaches it, the node of the largest sum is kept whole.
 
 Blocks are what block-level tags and cells delimit; ``<br>`` is white space.
@@ -52,13 +65,26 @@ CLOSES = {
     "option": frozenset({"option"}),
 }
 BARRIER = frozenset("table ul ol dl div article section main body html td th blockquote figure details button object".split())
-#: Words of class, id and role names that mark what is not main text.
+#: Words of class, id and role names that put an element in doubt.
 NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner menu menus nav navbar "
     "navigation breadcrumb breadcrumbs sidebar sidebars aside header masthead footer foot comment comments discussion reply "
     "replies disqus cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
     "signup login share sharing social related recommended recommendations widget widgets toolbar pagination pager search "
     "complementary contentinfo copyright legal disclaimer skip hidden".split())
+#: Words of names that say where or how, not what.
+LAYOUT = frozenset(
+    "area article articles bar block body bottom box btn button buttons center col column container content count desktop "
+    "element entry feed field form global group holder icon icons id inner item items js layout left link links list main "
+    "mini mobile module outer page pages panel post posts primary reader readers region right row secondary section site slot "
+    "sticky stories story strip tab tabs text thread title toggle top unit user users view wrap wrapper zone".split())
+#: Words that are as likely the name of a part of an article.
+AMBIGUOUS = frozenset(
+    "alert banner cookie cookies copyright discussion disclaimer header legal menu menus notice notices promotion "
+    "recommendations recommended related replies reply search share sharing social subscription".split())
+COMMENTS = frozenset("comment comments discussion reply replies disqus".split())
+TEXT_LEVEL = frozenset("p b i em strong span code cite q small sub sup u mark abbr dfn a li dt dd td th".split())
+LINK_SHARE = 1 / 3
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     # A quote opens a value only after an equals sign; elsewhere it is a character like any other.
@@ -73,29 +99,45 @@ _BODY = ("body", "html", "article", "main")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
+    __slots__ = ("tag", "kids", "doubt", "comments", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
 
-    def __init__(self, tag: str):
+    def __init__(self, tag: str, doubt: int = 0, comments: bool = False):
         self.tag = tag
+        self.doubt, self.comments = doubt, comments
         self.kids: list[Node | str] = []
 
 
-def _is_noise(tag: str, attrs: str) -> bool:
+def _named(tag: str, attrs: str) -> tuple[bool, int, bool]:
+    """Whether an element is never main text, how its names put it in doubt
+    (0 none, 1 weak, 2 strong), and whether they name comments."""
     if tag in CUT:
-        return True
+        return True, 0, False
     if not attrs or attrs.isspace() or tag in _BODY:
-        return False
+        return False, 0, False
+    doubt, comments = 0, False
     for name, a, b, c in _ATTR.findall(attrs):
         value, name = a or b or c, name.lower()
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-            return True
-        if name in ("class", "id", "role") and any(w.lower() in NOISE for w in _WORD.findall(value)):
-            return True
-    return False
+            return True, 0, False
+        if name not in ("class", "id", "role"):
+            continue
+        for part in value.split():
+            words = [w.lower() for w in _WORD.findall(part)]
+            noise = [w for w in words if w in NOISE]
+            if not noise:
+                continue
+            whole = all(w in NOISE or w in LAYOUT for w in words)
+            anchor = name == "id" and (tag == "section" or tag in TEXT_LEVEL) and all(w in AMBIGUOUS for w in noise)
+            sure = name == "role" or whole and not anchor
+            comments = comments or any(w in COMMENTS for w in noise)
+            doubt = max(doubt, 2 if sure else 1)
+    if tag in HEADING or doubt == 1 and tag in TEXT_LEVEL:
+        return False, 0, False
+    return False, doubt, comments
 
 
 def parse(html: str) -> Node:
-    """Light DOM under a body node, without what is never main text."""
+    """Light DOM under a body node, without what is never main text by tag."""
     body = Node("body")
     stack = [body]
     cut: list[str] = []  # open tags inside a subtree that is cut
@@ -149,11 +191,12 @@ def parse(html: str) -> Node:
                     del stack[i:]
                 elif stack[i].tag in BARRIER:
                     break
-        if _is_noise(tag, m[3]):
+        never, doubt, comments = _named(tag, m[3])
+        if never:
             if not empty:
                 cut.append(tag)
             continue
-        node = Node(tag)
+        node = Node(tag, doubt, comments)
         stack[-1].kids.append(node)
         if not empty:
             stack.append(node)
@@ -169,9 +212,8 @@ def _walk(body: Node) -> list[Node]:
     return out
 
 
-def measure(body: Node) -> list[Node]:
-    """Fill counts, density, density sum and the best node of every subtree."""
-    order = _walk(body)
+def _count(order: list[Node]) -> None:
+    """Fill the counts of every subtree."""
     for x in reversed(order):
         chars = tags = link_chars = link_tags = 0
         for k in x.kids:
@@ -185,6 +227,42 @@ def measure(body: Node) -> list[Node]:
         if x.tag == "a":
             link_chars = chars
         x.chars, x.tags, x.link_chars, x.link_tags = chars, tags, link_chars, link_tags
+
+
+def prune(body: Node) -> None:
+    """Cut the subtrees whose names, and where needed links or density, say they are not main text."""
+    order = _walk(body)
+    if not any(x.doubt for x in order):
+        return
+    _count(order)
+    plain, each = body.chars - body.link_chars, body.chars / max(body.tags, 1)
+    holds: dict[int, tuple[bool, int]] = {}  # whether a subtree has an article, main or h1, and its paragraphs
+    for x in reversed(order):
+        kids = [holds[id(k)] for k in x.kids if not isinstance(k, str)]
+        holds[id(x)] = x.tag in ("article", "main", "h1") or any(a for a, _ in kids), (x.tag == "p") + sum(n for _, n in kids)
+
+    def goes(x: Node) -> bool:
+        most = 2 * (x.chars - x.link_chars) > plain
+        if most and x.doubt == 1:
+            return False
+        if x.doubt == 1:
+            return x.link_chars >= LINK_SHARE * x.chars or x.chars < each * max(x.tags, 1)
+        if not most:
+            return True
+        article, paragraphs = holds[id(x)]
+        return not (article or not x.comments and paragraphs > 1)
+
+    todo = [body]
+    while todo:
+        x = todo.pop()
+        x.kids = [k for k in x.kids if isinstance(k, str) or not k.doubt or not goes(k)]
+        todo.extend(k for k in x.kids if not isinstance(k, str))
+
+
+def measure(body: Node) -> list[Node]:
+    """Fill counts, density, density sum and the best node of every subtree."""
+    order = _walk(body)
+    _count(order)
     ratio = body.link_chars / body.chars if body.chars else 0.0
     for x in reversed(order):
         c, t, lc, lt = x.chars, max(x.tags, 1), x.link_chars, max(x.link_tags, 1)
@@ -204,7 +282,7 @@ def measure(body: Node) -> list[Node]:
 
 
 def content_nodes(body: Node) -> list[Node]:
-    """Subtrees that are content, in page order."""
+    """Subtrees that are content; inside an article or main, lists of links go."""
     measure(body)
     if not body.chars:
         return []
@@ -221,6 +299,12 @@ def content_nodes(body: Node) -> list[Node]:
     if whole is not None:
         kept.add(id(whole))
         out.append(whole)
+        on_path, inner = {id(x) for x in path}, [whole]
+        while inner:
+            x = inner.pop()
+            x.kids = [k for k in x.kids if isinstance(k, str) or id(k) in on_path or k.tag not in CONTAINER
+                      or k.density >= threshold or 2 * k.link_chars <= k.chars]
+            inner.extend(k for k in x.kids if not isinstance(k, str))
     for x in path[:-1]:
         out.extend(k for k in x.kids if not isinstance(k, str) and k.tag in HEADING and k.chars)
     while todo:
@@ -267,6 +351,7 @@ def blocks(body: Node, roots: list[Node]) -> list[str]:
 
 def main_text(html: str | None) -> str:
     body = parse(html or "")
+    prune(body)
     return "\n\n".join(blocks(body, content_nodes(body)))
 
 

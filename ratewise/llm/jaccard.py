@@ -25,8 +25,9 @@ and of these only texts with equally many grams would be mixed up.
 Defined results: words are ASCII lower-cased and split at ASCII white space;
 a text of fewer than five words is one gram; a text without words (or null)
 has an empty set and links with nothing; repeated rows are documents of their
-own; null ids are kept, and a component takes its smallest id that is not
-null; extra columns are ignored.
+own; null ids are kept and their texts link like any other, also where they
+bridge others, and a component takes its smallest id that is not null (null if
+it has none); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -97,15 +98,16 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint64(29))) >> np.uint64(2)).astype(np.int64)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list]]:
-    """Ids and texts, about ``CHUNK_WORDS`` words at a time."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Rows and their texts, about ``CHUNK_WORDS`` words at a time."""
     for b in batches:
         lengths = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < b.num_rows:
             base = lengths[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(lengths, base + 6 * CHUNK_WORDS)))
-            yield b.column(0).slice(at, to - at), b.column(1).slice(at, to - at).to_pylist()
+            part = b.slice(at, to - at)
+            yield part, part.column(1).to_pylist()
             at = to
 
 
@@ -114,7 +116,7 @@ def _digest(s: np.ndarray) -> int:
 
 
 def _nodes_and_frequent(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, node) of every document, and (gram, c) of grams frequent in a task."""
+    """Rows (doc_id, other, n, node) of every document, and (gram, c) of grams frequent in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen, held, size = Shingler(), set(), [], 0
@@ -125,10 +127,10 @@ def _nodes_and_frequent(docs: DataFrame) -> DataFrame:
             if len(keep) > LOCAL_TOP:
                 keep = keep[np.argpartition(-c[keep], LOCAL_TOP)[:LOCAL_TOP]]
             none = pa.nulls(len(keep), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, pa.array(gram[keep]), pa.array(c[keep], pa.int64())],
-                                              ["doc_id", "n", "node", "gram", "c"])
+            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(gram[keep]), pa.array(c[keep], pa.int64())],
+                                              ["doc_id", "other", "n", "node", "gram", "c"])
 
-        for ids, texts in _chunks(batches):
+        for part, texts in _chunks(batches):
             sets = shingler.sets(texts)
             nodes = [_digest(s) for s in sets]
             for s, x in zip(sets, nodes, strict=True):
@@ -138,15 +140,15 @@ def _nodes_and_frequent(docs: DataFrame) -> DataFrame:
                     size += len(s)
             none = pa.nulls(len(nodes), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), none, none],
-                ["doc_id", "n", "node", "gram", "c"])
+                [part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), none, none],
+                ["doc_id", "other", "n", "node", "gram", "c"])
             if size > HELD_GRAMS:
                 yield frequent()
                 held, size = [], 0
         if held:
             yield frequent()
 
-    return written(docs.mapInArrow(lean(run), "doc_id bigint, n bigint, node bigint, gram bigint, c bigint"), "grams")
+    return written(docs.mapInArrow(lean(run), "doc_id bigint, other bigint, n bigint, node bigint, gram bigint, c bigint"), "grams")
 
 
 def _alpha(n):
@@ -189,7 +191,7 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     [pa.array(np.concatenate(x)) for x in (keys, nodes, ns, [x.astype(np.int8) for x in levels], lasts)],
                     ["key", "node", "n", "level", "last"])
 
-    return docs.mapInArrow(lean(run), "key bigint, node bigint, n int, level tinyint, last boolean")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "key bigint, node bigint, n int, level tinyint, last boolean")
 
 
 def _need(n: str, m: str) -> Column:
@@ -268,12 +270,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs whose whole sets reach the similarity."""
     pairs = written(pairs, "gram-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(reps, "node")
-    ids = small(written(wanted, "gram-wanted").select(F.col("rep").alias("doc_id"), F.col("node").alias("_node")))
+    ids = small(written(wanted, "gram-wanted").select(F.col("rep").alias("_ref"), F.col("node").alias("_node")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        for nodes, texts in _chunks(batches):
-            got = shingler.sets(texts)
+        for part, texts in _chunks(batches):
+            nodes, got = part.column(0), shingler.sets(texts)
             mine = pa.array([_digest(s) == x for s, x in zip(got, nodes.to_pylist(), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([nodes, pa.array([s.tobytes() for s in got], pa.binary())], ["node", "grams"]).filter(mine)
 
@@ -286,8 +288,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
                 ok.append(100 * same >= PERCENT * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    # One document for each node: of repeated ids, that whose digest is the node.
-    found = docs.join(ids, "doc_id").select("_node", "text").mapInArrow(lean(sets), "node bigint, grams binary").dropDuplicates(["node"])
+    # One document for each node: of repeated references, that whose digest is the node.
+    found = docs.select(F.coalesce("doc_id", "other").alias("_ref"), "text").join(ids, "_ref").select("_node", "text").mapInArrow(lean(sets), "node bigint, grams binary").dropDuplicates(["node"])
     a, b = (found.select(F.col("node").alias(x), F.col("grams").alias(f"{x}_grams")) for x in "ab")
     return written(pairs.join(a, "a").join(b, "b").select("a", "b", "a_grams", "b_grams").mapInArrow(
         lean(check), "a bigint, b bigint"), "gram-links")
@@ -319,14 +321,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     ship_package(spark)
-    docs = docs.select("doc_id", "text")
+    # A text of a row without id is referred to by its hash.
+    docs = docs.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("other"))
     rows = _nodes_and_frequent(docs)
     top = rows.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("c").alias("c")).where(
         F.col("c") >= FREQUENT_MIN).orderBy(F.desc("c"), "gram").limit(FREQUENT).select("gram").toArrow()
     frequent = top.column(0).to_numpy()[::-1].astype(np.int64)
     # n > 0 marks the rows of documents with words.
-    nodes = rows.where("n IS NOT NULL").select("doc_id", "n", "node")
-    reps = nodes.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    nodes = rows.where("n IS NOT NULL").select("doc_id", "other", "n", "node")
+    reps = nodes.where("n > 0").groupBy("node").agg(F.coalesce(F.min("doc_id"), F.min("other")).alias("rep"))
     index = _index(_prefixes(docs, frequent))
     links = _verified(_pivots(index), docs, reps)
     labels = components(links)

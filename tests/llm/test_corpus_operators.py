@@ -61,6 +61,15 @@ def test_jaccard_edges(spark, docs):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_jaccard_texts_without_id_still_link(spark):
+    w = [f"w{i}" for i in range(104)]
+    chain = [" ".join(w[i:i + 60]) for i in (0, 5, 10, 15)]  # neighbours share 51 of 61 shingles, others fewer
+    rows = [(7, chain[0]), (None, chain[1]), (None, chain[1]), (None, chain[2]), (3, chain[3]), (None, "alone here is one text"), (None, None)]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got if r["doc_id"]) == [(3, 56, 3), (7, 56, 3)]
+    assert sorted(str(r["component_id"]) for r in got if r["doc_id"] is None) == ["3", "3", "3", "None", "None"]
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a bigint, b bigint")
     got = {r["node"]: r["label"] for r in jaccard.components(chain).collect()}
@@ -140,6 +149,59 @@ def test_pii_long_runs_of_digits(spark):
         assert got == plain_spans(texts[r["doc_id"]])
 
 
+def test_pii_finds_what_stands_in_a_learnt_slot(spark):
+    rows = [(i, f"please write to user{i}@site.org today thanks") for i in range(30)]
+    rows += [(50 + i, f"the host 10.0.0.{i} reach 0{i}71 23456{i}8 now") for i in range(3)]
+    rows += [(100 + i, f"call the desk +49 (30) 1234{i}56 please") for i in range(12)]
+    rows += [(200, "please write to jane(at)site.org today thanks"), (201, "please write to us today thanks"),
+             (202, "ring +49 (30) 1234056 the desk 0171234567 please"), (203, "call the desk 3 please")]
+    text = dict(rows)
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    new = {(i, pii.KINDS[x["k"] - 1], text[i][x["start"]:x["end"]]) for i, s in got.items() for x in s if not x["base"]}
+    assert new == {(200, "email", "jane(at)site.org"), (202, "phone", "0171234567")}
+
+
+def test_pii_stretches_are_cut_at_seeds(spark):
+    rows = [(i, f"call me at +1 (555) 555-{1000 + i} today") for i in range(12)]
+    rows += [(100, "call me at 020 7946 0018 today"), (101, "call me at 020 7946 0018 10.0.0.1 55501 today"),
+             (102, "call me at 0171234567 0171234568 0171234569 today")]
+    text = dict(rows)
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    new = {(i, text[i][x["start"]:x["end"]]) for i, s in got.items() for x in s if not x["base"]}
+    # Three numbers in a row are no phone; the first and the last of them stand in a slot.
+    assert new == {(100, "020 7946 0018"), (101, "020 7946 0018"), (102, "0171234567")}
+
+
+def brute_discovery(seeds, others):
+    """The graph of the docstring, scored with dictionaries."""
+    by_pattern, cand = defaultdict(set), defaultdict(set)
+    for m, kind, patterns in seeds:
+        for p in patterns:
+            by_pattern[p].add((m, kind))
+    by_pattern = {p: v for p, v in by_pattern.items() if len(v) >= pii.MIN_SEEDS}
+    for m, patterns in others:
+        cand[m] |= {p for p in patterns if p in by_pattern}
+    score, met = dict.fromkeys(cand, 0.0), defaultdict(set)
+    for m, ps in cand.items():
+        for p in ps:
+            met[p].add(m)
+    for _ in range(pii.ROUNDS):
+        w = {p: (len(v) + sum(score[m] for m in met[p])) / (len(v) + len(met[p])) for p, v in by_pattern.items()}
+        score = {m: 1 - np.prod([1 - w[p] for p in ps if w[p] >= pii.MIN_PATTERN]) for m, ps in cand.items()}
+    return {m for m, s in score.items() if s >= pii.MIN_INSTANCE}
+
+
+def test_pii_graph_equals_brute_force(spark):
+    rng = random.Random(9)
+    pick = lambda: [f"L p{rng.randrange(12)}", f"B q{rng.randrange(12)}"]
+    seeds = [(f"+1 555 555 {i}", "phone", pick()) for i in range(120)]
+    others = [(f"02{i}5551", pick()) for i in rng.choices(range(60), k=90)]
+    schema = "m string, kind string, patterns array<string>"
+    got = pii.discover(spark.createDataFrame(seeds, schema), spark.createDataFrame([(m, "other", p) for m, p in others], schema)).collect()
+    want = brute_discovery(seeds, others)
+    assert {r["m"] for r in got} == want and 0 < len(want) < 60
+
+
 def test_pii_edges(spark, docs):
     assert pii.find_pii(docs).count() == docs.count()
     assert pii.find_pii(docs.limit(0)).count() == 0
@@ -233,6 +295,45 @@ def test_language_model_state_reaches_words_beyond_rank_1024(spark):
     assert abs(ends[0] - ends[1]) > 1e-6
 
 
+def test_language_model_end_mark_has_its_own_id(spark):
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(4000)}"
+    rows = [(i, " ".join(word() for _ in range(3000))) for i in range(5)] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    counts = lm.count_tokens(docs)
+    lay, known, n, v = lm.layout(counts)
+    assert len(lay.words) == lm.VOCAB and lay.end_id() == lay.ids[lm.END] and known[lm.END] == 10
+    p = lay.start()
+    gates, coder = p["E"] @ p["Wx"] + p["b"], lm.Coder(lay, known)
+    ids = [coder.encode(*coder.codes(t)) for _, t in rows[:5]]
+    assert all((x == lay.end_id()).sum() == 1 for x in ids)
+    # Scored one by one and together.
+    assert np.allclose([lm.log10_scores(p, lay, [x], gates)[0] for x in ids], lm.log10_scores(p, lay, ids, gates), rtol=1e-5)
+
+
+def test_language_model_sequences_begin_anew():
+    ids = np.arange(1, 2 * lm.SEQUENCE + 10)
+    some, before = lm.sequences(ids, 0)
+    assert [len(x) for x in some] == [lm.SEQUENCE, lm.SEQUENCE, 9] and before == [0, lm.SEQUENCE, 2 * lm.SEQUENCE]
+    seen = defaultdict(list)
+    for prev, target, doc, fresh in lm.windows(some, 0, 2, before):
+        for t in range(lm.WINDOW):
+            for lane in range(prev.shape[1]):
+                if target[t, lane] >= 0:
+                    assert prev[t, lane] == target[t, lane] - 1  # its own text's token, across the cut too
+                    assert fresh[t, lane] == (not seen[doc[t, lane]])
+                    seen[doc[t, lane]].append(target[t, lane])
+    assert [seen[d] for d in range(3)] == [x.tolist() for x in some]
+
+
+def test_language_model_frequent_tokens_with_ties(spark):
+    counts = spark.range(5000).select(F.concat(F.lit("w"), "id").cast("binary").alias("word"), F.when(F.col("id") < 100, 9).otherwise(2).cast("long").alias("c"))
+    counts = counts.union(spark.createDataFrame([(bytearray(lm.END), 1)], "word binary, c bigint"))
+    got = lm.frequent(counts, 1000)
+    assert [c for _, c in got[:100]] == [9] * 100 and got[-1] == (lm.END, 1) and 900 < len(got) < 1100
+    assert len(lm.frequent(counts, 10**6)) == 5001 and len({w for w, _ in got}) == len(got)
+
+
 def test_language_model_nothing_to_learn(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     counts = lm.count_tokens(empty)

@@ -155,3 +155,68 @@ def test_html_quotes_in_attributes(attrs):
 def test_html_unclosed_quotes_and_long_attributes_end():
     assert html.main_text("<p>one</p><p title=\"never closed>two") == "one"
     assert html.main_text("<p " + "a='b' c=d' " * 20_000 + ">text</p>") == "text"
+
+
+LONG = "Real words of the article that go on for quite a while, so that nobody takes them for a list of links. "
+
+
+@pytest.mark.parametrize("part", [
+    "<h2 id='discussion'>Discussion</h2>", "<h2 class='section-header'>Discussion</h2>", "<section id='discussion'><p>" + LONG * 3 + "</p></section>",
+    "<section id='related-work'><p>" + LONG * 3 + "</p></section>", "<p id='legal-basis'>Short basis.</p>", "<div class='search-algorithms'><p>" + LONG * 3 + "</p></div>"])
+def test_html_names_alone_do_not_cut_the_article(part):
+    page = f"<body><nav>m</nav><article><p>{LONG}</p>{part}<p>Last one.</p></article><footer>f</footer></body>"
+    bare = page.replace(" id=", " x=").replace(" class=", " x=")
+    assert html.main_text(page) == html.main_text(bare) and html.main_text(page).count("\n\n") == 2
+
+
+@pytest.mark.parametrize("part", [
+    "<div class='ad'>Buy</div>", "<div class='comment-list'><p>" + LONG * 9 + "</p></div>", "<div id='comments'><p>" + LONG * 9 + "</p><p>" + LONG + "</p></div>",
+    "<p class='cookie-notice'>Cookies!</p>", "<div role='search'><p>" + LONG + "</p></div>", "<div class='related-things'><a href=1>One</a> <a href=2>Two</a></div>",
+    "<ul><li><a href=1>" + "One of many links. " * 4 + "</a></li></ul>"])
+def test_html_doubtful_parts_go(part):
+    page = f"<body><article><p>{LONG}</p>{part}<p>Last one.</p></article></body>"
+    assert html.main_text(page) == LONG.strip() + "\n\nLast one."
+
+
+def test_html_wrappers_stay():
+    inner = f"<h1>Head</h1><p>{LONG}</p><p>Last one.</p>"
+    want = "Head\n\n" + LONG.strip() + "\n\nLast one."
+    for name in ("content-widget", "has-sidebar", "menu-open"):
+        assert html.main_text(f"<body><div class='{name}'>{inner}</div><div class='menu'><a href=1>x</a></div></body>") == want
+    deep = "<div class='menu-x'>" * 3000 + inner
+    assert html.main_text(deep) == want
+
+
+def test_html_densities_equal_brute_force():
+    import math
+    import random as r
+
+    rng = r.Random(4)
+
+    def page(depth):
+        if not depth or rng.random() < 0.2:
+            return "t" * rng.randrange(30)
+        return "".join(f"<{t}>{page(depth - 1)}</{t}>" for t in rng.choices(["div", "section", "a", "b"], k=rng.randrange(1, 4)))
+
+    def inside(x):
+        yield x
+        for k in x.kids:
+            if not isinstance(k, str):
+                yield from inside(k)
+
+    def chars(x):
+        return sum(len(k) if isinstance(k, str) else chars(k) for k in x.kids)
+
+    def link_chars(x):
+        return chars(x) if x.tag == "a" else sum(link_chars(k) for k in x.kids if not isinstance(k, str))
+
+    for _ in range(40):
+        body = html.parse(page(4))
+        html.measure(body)
+        for x in inside(body):
+            c, t, lc = chars(x), max(sum(1 for _ in inside(x)) - 1, 1), link_chars(x)
+            lt = max(sum(y.tag == "a" for y in inside(x)) - (x.tag == "a"), 1)
+            ratio = link_chars(body) / max(chars(body), 1)
+            want = c / t * math.log(max(c / max(lc, 1) * t / lt, 1)) / math.log(math.log(c * lc / max(c - lc, 1) + ratio * c + math.e) + 1) if c else 0
+            assert x.density == pytest.approx(want)
+            assert x.total == pytest.approx(sum(k.density for k in x.kids if not isinstance(k, str)))
