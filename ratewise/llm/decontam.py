@@ -249,13 +249,25 @@ def _block(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         for batch in batches:
             for doc_ids, ids, n in _sequences(batch):
                 best: dict[tuple[int, int], tuple] = {}
-                starts = np.cumsum(n) - n
+                starts = (np.cumsum(n) - n).tolist()
+                lengths, window, around = n.tolist(), (-1, -1), {}
                 for doc, begin, cosine, item in _candidates(space, ids, n):
+                    if window != (doc, begin):
+                        window, around = (doc, begin), {}
+                    # Items of about one size share the set of words around a window.
+                    size, start = len(seq[item]), starts[doc]
+                    there = around.get(size.bit_length())
+                    if there is None:
+                        reach = 1 << size.bit_length()
+                        there = around[size.bit_length()] = set(
+                            ids[start + max(0, begin - reach):start + min(lengths[doc], begin + PASSAGE + reach)].tolist())
+                    if sum(map(there.__contains__, seq[item])) < PARAPHRASED * size:
+                        continue
                     old = best.get((doc, item))
                     if old and old[0] == (1.0, 1.0):
                         best[doc, item] = old[0], max(cosine, old[1])
                         continue
-                    got = _compared(seq[item], answers[item], ids[starts[doc]:starts[doc] + n[doc]], begin)
+                    got = _compared(seq[item], answers[item], ids[start:start + lengths[doc]], begin)
                     if got and (not old or (got, cosine) > old):
                         best[doc, item] = got, cosine
                 if best:
@@ -296,10 +308,11 @@ def _candidates(space: Space, ids: np.ndarray, n: np.ndarray) -> Iterator[tuple[
         first, second, last = place(a[part]), place(mid[part]), place(b[part])
         x = np.where((second > first)[:, None], halves[np.minimum(first, len(halves) - 1)], 0)
         x += np.where((last > second)[:, None], halves[np.minimum(second, len(halves) - 1)], 0)
-        sims = x @ space.items.T
-        sims /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-        for w, item in zip(*np.nonzero(sims >= space.cosine), strict=True):
-            yield int(doc[part[w]]), int(begin[part[w]]), float(sims[w, item]), int(item)
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        sims = (x @ space.items.T).ravel()
+        near = np.flatnonzero(sims >= space.cosine)
+        w, item = np.divmod(near, len(space.items))
+        yield from zip(doc[part[w]].tolist(), begin[part[w]].tolist(), sims[near].tolist(), item.tolist(), strict=True)
 
 
 def _compared(item: list[int], answer: list[int], text: np.ndarray, begin: int):
