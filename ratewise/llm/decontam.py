@@ -34,7 +34,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate, repeat
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -109,12 +109,32 @@ def _rows(space: Space, ids: np.ndarray, passage: np.ndarray):
     return f, row, val.astype(np.float32), p
 
 
+def _sums(w: np.ndarray, f: np.ndarray, first: np.ndarray, n: np.ndarray, val: np.ndarray | None = None) -> np.ndarray:
+    """Sums of ``w[f] * val`` over pieces of ``n`` places from ``first`` on.
+
+    The k-th places of all pieces are added at once, longest pieces first.
+    """
+    order = np.argsort(-n, kind="stable")
+    start, left = first[order], -n[order]
+    total = np.zeros((len(n), w.shape[1]), w.dtype)
+    for k in range(int(n.max(initial=0))):
+        at = start[:np.searchsorted(left, -k)] + k
+        rows = w[f[at]]
+        if val is not None:
+            rows *= val[at, None]
+        total[:len(at)] += rows
+    out = np.empty_like(total)
+    out[order] = total
+    return out
+
+
 def _gram_times(space: Space, w: np.ndarray, ids: np.ndarray, passage: np.ndarray, out: np.ndarray) -> int:
     """Add A'(A w) of the given passages to ``out``; returns the number of rows."""
     f, row, val, _ = _rows(space, ids, passage)
     if not len(f):
         return 0
-    z = np.add.reduceat(val[:, None] * w[f], np.flatnonzero(np.diff(row, prepend=-1)))
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    z = _sums(w, f, first, np.diff(first, append=len(f)), val)
     order = np.argsort(f, kind="stable")
     g = f[order]
     first = np.flatnonzero(np.diff(g, prepend=-1))
@@ -192,12 +212,9 @@ def _block(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 b = batch.slice(at, 256)
-                flat, n = [], []
-                for t in b.column(1).to_pylist():
-                    at_first = len(flat)
-                    flat.extend(map(get, words(t), repeat(-1)))
-                    n.append(len(flat) - at_first)
-                flat, n = np.array(flat, np.int64), np.array(n)
+                found = [words(t) for t in b.column(1).to_pylist()]
+                n = np.array([len(x) for x in found])
+                flat = np.fromiter(map(get, chain.from_iterable(found), repeat(-1)), np.int32, n.sum())
                 p = _passages(n)
                 live = flat >= 0
                 df += np.bincount(np.unique(p[live] * len(df) + flat[live]) % len(df), minlength=len(df))
@@ -302,8 +319,7 @@ def _candidates(space: Space, ids: np.ndarray, n: np.ndarray) -> Iterator[tuple[
         part = some[i:i + size]
         # A window is two half passages; each is summed once for the two windows that have it.
         edges = np.unique(np.concatenate([a[part], mid[part], b[part]]))
-        rows = space.vectors[f[edges[0]:edges[-1]]]
-        halves = np.add.reduceat(rows, edges[:-1] - edges[0])
+        halves = _sums(space.vectors, f, edges[:-1], np.diff(edges))
         place = lambda e: np.searchsorted(edges, e)
         first, second, last = place(a[part]), place(mid[part]), place(b[part])
         x = np.where((second > first)[:, None], halves[np.minimum(first, len(halves) - 1)], 0)
