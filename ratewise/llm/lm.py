@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import hash_mod, ship_package, table, written
 
 END = b"\n"  # no word holds white space
-VOCAB, CLASSES, RARE, DIM, HIDDEN = 2047, 40, 24, 8, 8
+VOCAB, CLASSES, RARE, DIM, HIDDEN = 2047, 40, 24, 32, 32
 DICT = 1 << 17
 WINDOW, LANES, RATE, SEED = 32, 256, 0.08, 11
 #: Shares of sixteen that each training round takes; together they are all.
