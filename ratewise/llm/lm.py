@@ -4,7 +4,7 @@ Tokens are the words of a text (ASCII lower case, split at ASCII white space)
 and one end mark. Three kinds of work, all partitioned by Spark:
 
 1. Counts of all training tokens: each task counts its own rows, Spark adds
-   up. From them come the vocabulary (the most frequent tokens, and the end
+   up. Texts are split and looked up by Arrow, a batch at a time. From them come the vocabulary (the most frequent tokens, and the end
    mark whatever its rank), its classes (equal shares of square-root
    frequency), and for every other token a rare class (by its first two bytes)
    with the class's token and type count.
@@ -35,11 +35,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import repeat
-from math import log, log10
+from itertools import pairwise
+from math import log, log10, prod
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,11 +58,20 @@ TRAIN_TOKENS, SCORE_TOKENS = 500_000, 3_000_000
 SEQUENCE = 1024
 #: The histogram of counts: bins an octave, and the parts a hash cuts the last bin into.
 BINS, PARTS = 16, 1 << 20
-COUNTED = 300_000
+#: Tokens that a task counts at once.
+COUNTED = 2_000_000
+#: Rows of one block of the class softmax, and from how many rows on a sum by id goes by itself.
+BLOCK, OFTEN = 1024, 16
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, one text behind the other, and where each text's begin (and the last end)."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words, begin = split.flatten().cast(pa.binary()), split.offsets.to_numpy()
+    there = pc.binary_length(words).to_numpy() > 0
+    if not there.all():  # none before leading and behind trailing white space
+        words, begin = words.filter(pa.array(there)), np.concatenate([[0], np.cumsum(there)])[begin]
+    return words, begin
 
 
 def rare_class(word: bytes) -> int:
@@ -106,20 +116,39 @@ class Layout:
         return np.where(ids < n, self.cls[np.minimum(ids, n - 1)], ids - n + CLASSES)
 
 
+def ids_of(texts: pa.Array, lay: Layout) -> Iterator[np.ndarray]:
+    """Ids of each text's tokens."""
+    words, begin = tokens(texts)
+    ids = pc.index_in(words, pa.array(lay.words, pa.binary())).fill_null(-1).to_numpy().astype(np.int64)
+    rare = ids < 0
+    heads = pc.binary_slice(words.filter(pa.array(rare)), 0, 2).dictionary_encode()
+    ids[rare] = np.array([len(lay.words) + rare_class(h) for h in heads.dictionary.to_pylist()], np.int64)[heads.indices.to_numpy()]
+    ids = np.insert(ids, begin[1:], lay.end_id())
+    for lo, hi in pairwise((begin + np.arange(len(begin))).tolist()):
+        yield ids[lo:hi]
+
+
 class Coder:
-    """Looks up the frequent tokens (``known``) once each; lives in a task."""
+    """Looks up the frequent tokens (``known``) in all texts of a batch at once; lives in a task."""
 
     def __init__(self, lay: Layout, known: dict[bytes, int]):
         self.lay = lay
-        self.code = {w: i for i, w in enumerate(known)}
+        self.known, self.end = pa.array(known, pa.binary()), list(known).index(END) if END in known else -1
         self.ids = np.array([*(lay.id_of(w) for w in known), 0], np.int64)
 
+    def each(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        """Places in ``known`` of each text's tokens (-1: not there), and the others."""
+        words, begin = tokens(texts)
+        got = pc.index_in(words, self.known).fill_null(-1).to_numpy()
+        at = np.flatnonzero(got < 0)
+        others, cuts, ends = words.take(pa.array(at)).to_pylist(), np.searchsorted(at, begin).tolist(), [END] * (self.end < 0)
+        got = np.insert(got, begin[1:], self.end)
+        for i, (lo, hi) in enumerate(pairwise((begin + np.arange(len(begin))).tolist())):
+            yield got[lo:hi], others[cuts[i]:cuts[i + 1]] + ends
+
     def codes(self, text: str | None) -> tuple[np.ndarray, list[bytes]]:
-        """Places in ``known`` of a text's tokens (-1: not there), and the others."""
-        words = tokens(text)
-        words.append(END)
-        got = np.fromiter(map(self.code.get, words, repeat(-1)), np.int64, len(words))
-        return got, [words[i] for i in np.flatnonzero(got < 0).tolist()]
+        """The same of one text."""
+        return next(self.each(pa.array([text], pa.string())))
 
     def encode(self, got: np.ndarray, others: list[bytes]) -> np.ndarray:
         ids = self.ids[got]
@@ -165,89 +194,151 @@ def windows(docs: list[np.ndarray], end: int, width: int,
         yield np.where(live, prev, end), np.where(live, flat[where], -1), np.where(live, doc, -1), fresh
 
 
-def forward(p: dict, gates: np.ndarray, h: np.ndarray, prev: np.ndarray, fresh: np.ndarray, keep: bool):
-    """States of one window, (steps, units, lanes); ``keep`` also returns what back-propagation needs.
+class Room:
+    """Memory that one window leaves to the next; fresh pages for every array cost more than what is done on them."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        """An array with any content; it holds until ``name`` is asked for again."""
+        size = prod(shape)
+        if name not in self.held or self.held[name].size < size:
+            self.held[name] = np.empty(size, np.float32)
+        return self.held[name][:size].reshape(shape)
+
+
+def forward(p: dict, gates: np.ndarray, h: np.ndarray, prev: np.ndarray, fresh: np.ndarray, keep: bool, room: Room):
+    """States of one window and a one below each, (units + 1, steps * lanes); ``keep`` also returns what back-propagation needs.
 
-    Units come before lanes, so that each gate of a step is one piece of memory.
+    Units come before lanes everywhere (``gates``: units before tokens), so
+    that each gate of a step is one piece of memory.
     """
     steps, n = prev.shape
-    out, h, turned = np.empty((steps, HIDDEN, n), np.float32), h[:, :n], np.ascontiguousarray(p["Wh"].T)
-    kept = tuple(np.empty((steps, k * HIDDEN, n), np.float32) for k in (1, 2, 1, 1)) if keep else None
-    into, alive = np.ascontiguousarray(gates[prev].transpose(0, 2, 1)), (~fresh).astype(np.float32)
+    h, turned, alive = h[:, :n], np.ascontiguousarray(p["Wh"].T), (~fresh).astype(np.float32)
+    into = gates.take(prev.ravel(), 1, out=room("into", 3 * HIDDEN, steps * n), mode="clip")
+    out = room("states", HIDDEN + 1, steps * n)
+    out[HIDDEN] = 1
+    kept = [room(f"kept{i}", steps if keep else 1, k * HIDDEN, n) for i, k in enumerate((1, 2, 3, 1))]
     for t in range(steps):
-        h0 = h * alive[t]
-        u = turned @ h0
-        zr = into[t, :2 * HIDDEN] + u[:2 * HIDDEN]
+        h0, zr, u, cand = (x[t if keep else 0] for x in kept)
+        here = slice(t * n, (t + 1) * n)
+        np.multiply(h, alive[t], out=h0)
+        np.matmul(turned, h0, out=u)
+        np.add(into[:2 * HIDDEN, here], u[:2 * HIDDEN], out=zr)
         np.negative(zr, out=zr)
         np.exp(zr, out=zr)
         zr += 1
         np.reciprocal(zr, out=zr)
-        cand = np.tanh(into[t, 2 * HIDDEN:] + zr[HIDDEN:] * u[2 * HIDDEN:])
-        h = np.add(cand, zr[:HIDDEN] * (h0 - cand), out=out[t])
-        if keep:
-            for x, v in zip(kept, (h0, zr, u[2 * HIDDEN:], cand), strict=True):
-                x[t] = v
-    return out, h, kept and (*kept, alive)
+        np.multiply(zr[HIDDEN:], u[2 * HIDDEN:], out=cand)
+        cand += into[2 * HIDDEN:, here]
+        np.tanh(cand, out=cand)
+        h = h0 - cand
+        h *= zr[:HIDDEN]
+        h += cand
+        out[:HIDDEN, here] = h
+    return out, h, (*kept, alive)
 
 
-def output(p: dict, lay: Layout, h: np.ndarray, target: np.ndarray, grads: dict | None = None):
-    """ln P of each target (rare ones: of their class); gradients if asked for.
+class Output:
+    """Weights of the softmax layer as its products take them.
 
     Biases are a last column of the weights and states end in a one, so that
     one product makes a logit; a softmax is not divided out, its sum goes to the
     states that it is multiplied with.
     """
-    n = len(lay.words)
-    cls = lay.class_of(target)
-    # States lie in (-1, 1), so these bound every logit; as a rule exp() is safe.
-    safe = max(np.abs(p["bc"] + np.abs(p["Wc"]).sum(0)).max(), np.abs(p["bw"]).max(initial=0) + np.abs(p["Ww"]).sum(1).max(initial=0)) < 60
-    order = np.argsort(cls.astype(np.int16), kind="stable")  # rows of a class lie together
-    cls, target = cls[order], target[order]
-    one = np.ones((len(h), HIDDEN + 1), np.float32)
-    one[:, :HIDDEN] = h[order]
-    to_class = np.concatenate([p["Wc"], p["bc"][None]])
-    to_word = np.concatenate([p["Ww"], p["bw"][:, None]], 1)
-
-    def softmax(x: np.ndarray, w: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """ln P of ``at``; and for gradients: unscaled errors, their scale and the rows to scale."""
-        e = x @ w
-        if not safe:
+
+    def __init__(self, p: dict, lay: Layout):
+        self.p, self.lay = p, lay
+        self.to_class = np.concatenate([p["Wc"], p["bc"][None]])
+        self.to_word = np.concatenate([p["Ww"], p["bw"][:, None]], 1)
+        # States lie in (-1, 1), so these bound every logit; as a rule exp() is safe.
+        self.safe = max(np.abs(self.to_class).sum(0).max(), np.abs(self.to_word).sum(1).max(initial=0)) < 60
+
+    def softmax(self, x: np.ndarray, w: np.ndarray, at: np.ndarray, e: np.ndarray, picked: np.ndarray, total: np.ndarray,
+                learn: bool) -> None:
+        """``e``: exp of the logits; ``learn`` makes it the errors, not divided by ``total``. ``picked``: logits of ``at``."""
+        np.matmul(x, w, out=e)
+        if not self.safe:
             e -= e.max(1, keepdims=True)
-        r = np.arange(len(x))
-        picked = e[r, at]
+        flat, at = e.reshape(-1), at + np.arange(0, e.size, e.shape[1])
+        flat.take(at, out=picked, mode="clip")
         np.exp(e, out=e)
-        total = e @ np.ones(w.shape[1], np.float32)
-        if grads is None:
-            return picked - np.log(total), e, total, x
-        e[r, at] -= total
-        scale = 1 / total[:, None]
-        return picked - np.log(total), e, scale, x * scale
-
-    logp, e, scale, x = softmax(one, to_class, cls)
-    dh = None
-    if grads is not None:
-        both = x.T @ e
-        grads["Wc"], grads["bc"] = both[:HIDDEN], both[HIDDEN]
-        dh = e @ p["Wc"].T
-        dh *= scale
-        grads["Ww"], grads["bw"] = np.zeros_like(p["Ww"]), np.zeros_like(p["bw"])
-    cuts = np.searchsorted(cls, np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        here, lo, hi = slice(cuts[c], cuts[c + 1]), lay.first[c], lay.first[c + 1]
-        if cuts[c] == cuts[c + 1] or hi - lo <= 1:
-            continue
-        got, f, scale, x = softmax(one[here], to_word[lo:hi].T, target[here] - lo)
-        logp[here] += got
-        if grads is not None:
-            both = f.T @ x
-            grads["Ww"][lo:hi], grads["bw"][lo:hi] = both[:, :HIDDEN], both[:, HIDDEN]
-            d = f @ p["Ww"][lo:hi]
-            d *= scale
-            dh[here] += d
-    assert n or not len(h) or cls.min() >= CLASSES
-    place = np.empty_like(order)
-    place[order] = np.arange(len(order))
-    return logp[place], None if dh is None else dh[place]
+        np.dot(e, np.ones(w.shape[1], np.float32), out=total)
+        if learn:
+            flat[at] -= total
+
+    def __call__(self, states: np.ndarray, target: np.ndarray, room: Room, grads: dict | None = None):
+        """ln P of each target (rare ones: of their class; -1: any number); errors of the states if gradients are asked for."""
+        lay, p, learn, n = self.lay, self.p, grads is not None, len(target)
+        live, cls = (target >= 0).astype(np.float32), lay.class_of(target)
+        picked, total = room("picked", n), room("total", n)
+        dh = room("dh", HIDDEN, n) if learn else None
+        if learn:
+            both = np.zeros_like(self.to_class)
+            grads["Ww"], grads["bw"] = np.zeros_like(p["Ww"]), np.zeros_like(p["bw"])
+        for lo in range(0, n, BLOCK):
+            here = slice(lo, min(lo + BLOCK, n))
+            x, e = states[:, here], room("e", here.stop - lo, CLASSES + RARE)
+            self.softmax(x.T, self.to_class, cls[here], e, picked[here], total[here], learn)
+            if learn:
+                scale = live[here] / total[here]
+                both += (x * scale) @ e
+                np.multiply(p["Wc"] @ e.T, scale, out=dh[:, here])
+        logp = picked - np.log(total)
+        # Words: the states of a class lie together.
+        at = np.flatnonzero((target >= 0) & (target < len(lay.words)))
+        at = at[np.argsort(cls[at].astype(np.int16), kind="stable")]
+        cls, target, many = cls[at], target[at], len(at)
+        x = states.take(at, 1, out=room("x", HIDDEN + 1, many), mode="clip")
+        picked, total = room("picked", many), room("total", many)
+        picked.fill(0)
+        total.fill(1)
+        dw = room("dw", HIDDEN, many + 1) if learn else None  # a last column for the targets that are no words
+        if learn:
+            dw.fill(0)
+        cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+        for c, (lo, hi) in enumerate(pairwise(lay.first.tolist())):
+            here = slice(cuts[c], cuts[c + 1])
+            if here.start == here.stop or hi - lo <= 1:
+                continue
+            e = room("e", here.stop - here.start, hi - lo)
+            self.softmax(x[:, here].T, self.to_word[lo:hi].T, target[here] - lo, e, picked[here], total[here], learn)
+            if learn:
+                scale = 1 / total[here]
+                word = e.T @ (x[:, here] * scale).T
+                grads["Ww"][lo:hi], grads["bw"][lo:hi] = word[:, :HIDDEN], word[:, HIDDEN]
+                np.multiply(p["Ww"][lo:hi].T @ e.T, scale, out=dw[:, here])
+        logp[at] += picked - np.log(total)
+        if learn:
+            grads["Wc"], grads["bc"] = both[:HIDDEN], both[HIDDEN]
+            place = np.full(n, many)
+            place[at] = np.arange(many)
+            dh += dw.take(place, 1, out=room("placed", HIDDEN, n), mode="clip")
+        return logp, dh
+
+
+def sums_by_id(rows: np.ndarray, ids: np.ndarray, many: int, room: Room) -> np.ndarray:
+    """The sum of the rows of each id below ``many``.
+
+    Ids that come often are summed one by one; of the others first all first
+    rows are added, then all second ones, and so on.
+    """
+    count = np.bincount(ids, minlength=many)
+    begin = np.cumsum(count) - count
+    order = np.argsort(ids.astype(np.int16 if many < 1 << 15 else np.int64), kind="stable")
+    rows = rows.take(order, 0, out=room("sorted", *rows.shape), mode="clip")
+    out = np.zeros((many, rows.shape[1]), np.float32)
+    for i in np.flatnonzero(count >= OFTEN).tolist():
+        np.add.reduce(rows[begin[i]:begin[i] + count[i]], 0, out=out[i])
+    few = np.flatnonzero((count > 0) & (count < OFTEN))
+    few = few[np.argsort(-count[few], kind="stable")]
+    total = rows.take(begin[few], 0)
+    for k in range(1, int(count[few].max(initial=0))):
+        here = few[:int((count[few] > k).sum())]
+        total[:len(here)] += rows.take(begin[here] + k, 0)
+    out[few] = total
+    return out
 
 
 def sequences(ids: np.ndarray, end: int) -> tuple[list[np.ndarray], list[int]]:
@@ -258,41 +349,42 @@ def sequences(ids: np.ndarray, end: int) -> tuple[list[np.ndarray], list[int]]:
 
 def train_on(p: dict, sums: dict, lay: Layout, docs: list[np.ndarray], before: list[int]) -> None:
     """Truncated back-propagation over the sequences, one update a window."""
-    end = lay.end_id()
+    end, room = lay.end_id(), Room()
     h = np.zeros((HIDDEN, LANES), np.float32)
     for prev, target, _, fresh in windows(docs, end, LANES, before):
-        gates = p["E"] @ p["Wx"] + p["b"]
+        gates = p["Wx"].T @ p["E"].T + p["b"][:, None]
         steps, n = prev.shape
-        states, h, kept = forward(p, gates, h, prev, fresh, True)
-        live = target.ravel() >= 0
+        states, h, (*kept, alive) = forward(p, gates, h, prev, fresh, True, room)
         grads: dict = {}
-        _, d = output(p, lay, states.transpose(0, 2, 1).reshape(-1, HIDDEN)[live], target.ravel()[live], grads)
-        dout = np.zeros((steps * n, HIDDEN), np.float32)
-        dout[live] = d
-        dout = np.ascontiguousarray(dout.reshape(steps, n, HIDDEN).transpose(0, 2, 1))
-        h0, zr, un, cand, alive = kept
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        to_cand, to_z, to_r = (1 - z) * (1 - cand * cand), (h0 - cand) * z * (1 - z), un * r * (1 - r)
-        dg, du = np.empty((steps, 3 * HIDDEN, n), np.float32), np.empty((steps, 3 * HIDDEN, n), np.float32)
-        back = np.zeros((HIDDEN, n), np.float32)
+        _, dout = Output(p, lay)(states, target.ravel(), room, grads)
+        into = room("gates", steps, n, 3 * HIDDEN)  # errors of what a token brings to the gates
+        du, dh, one_z = room("du", 3 * HIDDEN, n), room("step", HIDDEN, n), room("one_z", HIDDEN, n)
+        back, to_h = np.zeros((HIDDEN, n), np.float32), np.zeros((3 * HIDDEN, HIDDEN), np.float32)
         for t in range(steps - 1, -1, -1):
-            dh = dout[t] + back
-            d, da = du[t], np.multiply(dh, to_cand[t], out=dg[t, 2 * HIDDEN:])
-            np.multiply(dh, to_z[t], out=d[:HIDDEN])
-            np.multiply(da, to_r[t], out=d[HIDDEN:2 * HIDDEN])
-            np.multiply(da, r[t], out=d[2 * HIDDEN:])
-            dh *= z[t]
-            dh += p["Wh"] @ d
-            back = np.multiply(dh, alive[t], out=dh)
-        dg[:, :2 * HIDDEN] = du[:, :2 * HIDDEN]
-        flat = dg.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)
-        grads["Wh"] = (h0 @ du.transpose(0, 2, 1)).sum(0)
-        grads["b"] = dg.sum((0, 2))
-        ids = prev.ravel().astype(np.int16)
-        order = np.argsort(ids, kind="stable")
-        first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        per_id = np.zeros((len(gates), 3 * HIDDEN), np.float32)
-        per_id[ids[order[first]]] = np.add.reduceat(flat[order], first)
+            h0, zr, u, cand = (x[t] for x in kept)
+            z, r, un = zr[:HIDDEN], zr[HIDDEN:], u[2 * HIDDEN:]
+            dz, dr, dn = du[:HIDDEN], du[HIDDEN:2 * HIDDEN], du[2 * HIDDEN:]
+            np.add(dout[:, t * n:(t + 1) * n], back, out=dh)
+            np.subtract(1, z, out=one_z)
+            da = dh * one_z  # to the candidate
+            np.multiply(dh, z, out=back)
+            np.subtract(h0, cand, out=dz)
+            dz *= back
+            dz *= one_z
+            np.multiply(cand, cand, out=cand)
+            np.subtract(1, cand, out=cand)
+            da *= cand
+            into[t, :, 2 * HIDDEN:] = da.T
+            np.multiply(da, r, out=dn)
+            np.subtract(1, r, out=dr)
+            dr *= dn
+            dr *= un
+            into[t, :, :2 * HIDDEN] = du[:2 * HIDDEN].T
+            back += p["Wh"] @ du
+            back *= alive[t]
+            to_h += du @ h0.T
+        per_id = sums_by_id(into.reshape(-1, 3 * HIDDEN), prev.ravel(), len(p["E"]), room)
+        grads["Wh"], grads["b"] = to_h.T, per_id.sum(0)
         grads["Wx"] = p["E"].T @ per_id
         grads["E"] = per_id @ p["Wx"].T
         for k, g in grads.items():
@@ -303,12 +395,12 @@ def train_on(p: dict, sums: dict, lay: Layout, docs: list[np.ndarray], before: l
 def log10_scores(p: dict, lay: Layout, docs: list[np.ndarray], gates: np.ndarray) -> np.ndarray:
     """log10 P of each document; a rare token counts for its class only."""
     total = np.zeros(len(docs))
-    h = np.zeros((HIDDEN, 2 * LANES), np.float32)
+    h, gates, room, output = np.zeros((HIDDEN, 2 * LANES), np.float32), np.ascontiguousarray(gates.T), Room(), Output(p, lay)
     for prev, target, doc, fresh in windows(docs, lay.end_id(), 2 * LANES):
-        states, h, _ = forward(p, gates, h, prev, fresh, False)
+        states, h, _ = forward(p, gates, h, prev, fresh, False, room)
+        logp, _ = output(states, target.ravel(), room)
         live = target.ravel() >= 0
-        logp, _ = output(p, lay, states.transpose(0, 2, 1).reshape(-1, HIDDEN)[live], target.ravel()[live])
-        total += np.bincount(doc.ravel()[live], logp, len(docs))
+        total += np.bincount(doc.ravel()[live], logp[live], len(docs))
     return total / log(10)
 
 
@@ -317,23 +409,20 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
-        seen: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            b = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
-            seen.clear()
-            return b
+        def out(words: list[pa.Array], ends: int) -> pa.RecordBatch:
+            seen = pa.chunked_array(words).value_counts()
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([seen.field("values"), pa.array([END], pa.binary())]),
+                                               pa.concat_arrays([seen.field("counts"), pa.array([ends], pa.int64())])], ["word", "c"])
 
+        held, n, ends = [], 0, 0
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(tokens(text.as_py()))
-                seen[END] += 1
-                if len(seen) > COUNTED:
-                    yield out()
-        if seen:
-            yield out()
+            held.append(tokens(batch.column(0))[0])
+            n, ends = n + len(held[-1]), ends + batch.num_rows
+            if n > COUNTED:
+                yield out(held, ends)
+                held, n, ends = [], 0, 0
+        if ends:
+            yield out(held, ends)
 
     return written(docs.select("text").mapInArrow(run, "word binary, c bigint").groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
 
@@ -407,13 +496,11 @@ def fit(docs: DataFrame, lay: Layout, rounds: tuple[int, ...] = ROUNDS) -> dict:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start, lay = model.value
-            coder = Coder(lay, dict.fromkeys(lay.words, 0))
             p = {k: v.copy() for k, v in start.items()}
             sums = {k: np.full_like(v, 1e-2) for k, v in p.items()}
             held, before, n, seen = [], [], 0, 0
             for batch in batches:
-                for text in batch.column(0):
-                    ids = coder.encode(*coder.codes(text.as_py()))
+                for ids in ids_of(batch.column(0), lay):
                     some, leads = sequences(ids, lay.end_id())
                     held.extend(some)
                     before.extend(leads)
@@ -464,8 +551,7 @@ def score(docs: DataFrame, weights: dict, lay: Layout, known: dict[bytes, int],
 
         rows, held, held_n = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                got, others = coder.codes(text.as_py())
+            for doc_id, (got, others) in zip(batch.column(0).to_pylist(), coder.each(batch.column(1)), strict=True):
                 ids, new = coder.encode(got, others), Counter(others)
                 rows.append((rid, doc_id, len(got), len(got) - len(others), float(base_of[got].sum()),
                              float(in_class[got].sum()), list(new), list(new.values())))
